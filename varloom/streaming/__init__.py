@@ -1,0 +1 @@
+"""No streaming operators: the analyses are all batch (no stream source, watermark or state to express)."""
