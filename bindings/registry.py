@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from varloom.fixtures import ctes, load
+from varloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,7 +37,7 @@ def query(name: str, oracle: str | None = None):
 
     def wrap(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            return fn(Tables(configure(spark), sf_dir))
 
         run.__name__ = name
         if name in QUERIES:

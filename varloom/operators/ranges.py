@@ -46,10 +46,10 @@ def range_join(
     """Points with the intervals that hold them: same chromosome, start <= pos <= stop.
 
     ``shift`` moves both bounds, ``pad`` widens the interval on both sides. Columns both sides have are taken from
-    the points.
+    the points. ``left_semi`` and ``left_anti`` keep or drop the points that lie in any interval.
     """
     lo, hi = F.col(start) + (shift - pad), F.col(stop) + (shift + pad)
-    extra = [c for c in intervals.columns if c not in points.columns]
+    extra = [] if how in ("left_semi", "left_anti") else [c for c in intervals.columns if c not in points.columns]
     build = _binned(intervals, lo, hi, width).select(F.col(chrom).alias(_CHROM), _BIN, _LO, _HI, *extra)
     build = build.withColumnRenamed(_BIN, f"{_BIN}_r")
     probe = points.withColumn(_BIN, _bin(F.col(pos), width))

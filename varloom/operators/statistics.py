@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom import schema as S
+from varloom.session import stage
 
 SITE = ["chrom", "pos", "ref"]
 
@@ -117,14 +118,17 @@ def ld_pairs(
     step: int = 5,
     marker: Sequence[str] = S.VARIANT_KEY,
     sample: str = "subject_id",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Squared dosage correlation of the marker pairs that share a sliding window.
 
     Marker i meets marker j > i when j < floor(i / step) * step + window, with 0-based order in the chromosome. Each call
     meets only the same sample's calls in its own and the next run of ``window`` markers, which bounds a join group by
-    2 x window rows whatever the number of samples. Samples without a call at either marker do not count.
+    2 x window rows whatever the number of samples. Samples without a call at either marker do not count. ``index`` is
+    the marker order when it is already known.
     """
-    indexed = dosages.join(marker_index(dosages, marker), list(marker)).select(sample, "chrom", "idx", "dosage")
+    index = marker_index(dosages, marker) if index is None else index
+    indexed = dosages.join(index, list(marker)).select(sample, "chrom", "idx", "dosage")
     run = F.floor(F.col("idx") / window)
     first = indexed.select(
         sample, "chrom", run.alias("run"), F.col("idx").alias("idx_i"), F.col("dosage").cast("double").alias("x")
@@ -160,10 +164,14 @@ def ld_prune(
     marker: Sequence[str] = S.VARIANT_KEY,
     sample: str = "subject_id",
 ) -> DataFrame:
-    """Markers left after dropping the first of every window pair with r-squared over the cutoff."""
-    pairs = ld_pairs(dosages, window, step, marker, sample)
+    """Markers left after dropping the first of every window pair with r-squared over the cutoff.
+
+    The marker order is read three times here, so it is staged.
+    """
+    index = stage(marker_index(dosages, marker), "index")
+    pairs = ld_pairs(dosages, window, step, marker, sample, index)
     dropped = pairs.where(F.col("r2") > cutoff).select("chrom", F.col("idx_i").alias("idx")).distinct()
-    return marker_index(dosages, marker).join(dropped, ["chrom", "idx"], "left_anti").select(*marker, "idx")
+    return index.join(dropped, ["chrom", "idx"], "left_anti").select(*marker, "idx")
 
 
 # --- thinning -------------------------------------------------------------------------------------------------------

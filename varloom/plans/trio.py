@@ -15,15 +15,15 @@ from varloom.functions.columns import (
 from varloom.functions.predicates import filter_autosomes, filter_high_risk, filter_quality, filter_trio, label_predictive
 from varloom.operators import trio as R
 from varloom.operators.aggregates import concat_findings
-from varloom.operators.joins import join_locus_alt, join_on_variant, keyed_join, left_join_variant
-from varloom.operators.ranges import range_join_inner
+from varloom.operators.joins import join_locus_alt, join_on_variant, left_join_variant
+from varloom.operators.ranges import range_join, range_join_inner
 from varloom.session import stage
 
 CALL_COLUMNS = ["sample_id", "chrom", "pos", "ref", "alt", "qual", "filter", "gt"]
+EFFECT_COLUMNS = ["effect", "impact", "feature_id", "biotype", "hgvs_c", "hgvs_p"]
 
 
-def annotate_trios(
-    calls: DataFrame,
+def region_variants(
     regions: DataFrame,
     *,
     kaviar: DataFrame,
@@ -33,37 +33,49 @@ def annotate_trios(
     kav_freq: float = 0.03,
     dann: float = 0.96,
     dann_in_prediction: bool = False,
-    members: Iterable[str] | str = "all",
-    samples: Iterable[str] | str = "all",
     start: str = "txstart",
     stop: str = "txstop",
-    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Autosomal calls in gene regions with rarity, significance, predictions, first effect and the predictive label.
+    """Autosomal variants in gene regions with effect, rarity, significance, predictions and the predictive label.
 
-    The region join runs first: the gene list is small, so calls outside it are gone before anything is shuffled.
-    Copies are removed there once. The two joins on (chrom, pos, alt) follow each other, then the two on the
-    full variant key, so each pair shares one shuffle of the calls. Calls without a functional prediction or without an
-    effect are not reported.
+    Everything here depends on the variant alone, so its size follows the genome regions and not the cohort.
+    Variants without a functional prediction or without an effect are not reported.
     """
-    picked = filter_trio(filter_autosomes(calls), members, samples)
-    picked = normalize_gt(picked.select(*CALL_COLUMNS, *keep))
-    located = range_join_inner(picked, regions, start=start, stop=stop).drop(start, stop).distinct()
-
-    known = clinvar.select(*S.LOCUS_ALT_KEY, "clin_sig", "clin_dbn")
+    listed = filter_autosomes(effects).select(*S.VARIANT_KEY, *EFFECT_COLUMNS)
+    located = range_join_inner(listed, regions, start=start, stop=stop).drop(start, stop)
     predictions = [c for c in S.DAMAGING_CALLS if c in dbnsfp.columns]
     scores = dbnsfp.select(*S.LOCUS_ALT_KEY, *predictions, "cadd_raw", "dann_score", "interpro_domain")
-    scored = join_locus_alt(join_locus_alt(located, known, "left"), scores, "inner")
-
-    frequencies = kaviar.select(*S.VARIANT_KEY, "kav_freq")
-    consequences = effects.select(*S.VARIANT_KEY, "effect", "impact", "feature_id", "biotype", "hgvs_c", "hgvs_p")
-    merged = keyed_join(left_join_variant(scored, frequencies), consequences, S.VARIANT_KEY).distinct()
-
+    known = clinvar.select(*S.LOCUS_ALT_KEY, "clin_sig", "clin_dbn")
+    scored = join_locus_alt(join_locus_alt(located, scores, "inner"), known, "left")
+    merged = left_join_variant(scored, kaviar.select(*S.VARIANT_KEY, "kav_freq")).distinct()
     labelled = with_clin_patho(with_kaviar_rare(merged, kav_freq))
     labelled = with_predicted_damaging(labelled, dann if dann_in_prediction else None)
     return with_var_id(label_predictive(labelled, dann))
 
 
+def annotate_trios(
+    calls: DataFrame,
+    regions: DataFrame,
+    *,
+    members: Iterable[str] | str = "all",
+    samples: Iterable[str] | str = "all",
+    start: str = "txstart",
+    stop: str = "txstop",
+    keep: Iterable[str] = (),
+    **tables,
+) -> DataFrame:
+    """Calls of the annotated variants in gene regions, without repeated rows.
+
+    The variants are annotated once each; the calls only take part in a semi join with the small region list, one
+    deduplication and one join on the variant key. Both inputs of that join are free of copies, so its result is too.
+    """
+    variants = region_variants(regions, start=start, stop=stop, **tables)
+    picked = filter_trio(filter_autosomes(calls), members, samples)
+    picked = normalize_gt(picked.select(*CALL_COLUMNS, *keep))
+    located = range_join(picked, regions, "left_semi", start=start, stop=stop).distinct()
+    return join_on_variant(located, variants)
+
+
 def classify(annotated: DataFrame, same_family: bool = True) -> DataFrame:
     """Dominant, homozygous recessive and compound heterozygous findings of annotated trios, in one table.
 
@@ -111,12 +123,12 @@ def nbs_high_risk(
 ) -> DataFrame:
     """Well-called variants in gene regions that are rare with high impact, or pathogenic.
 
-    ``shift`` moves both region bounds; ``pad`` widens the region on both sides instead.
+    ``shift`` moves both region bounds; ``pad`` widens the region on both sides instead. Risk and region are properties of
+    the variant, so the variants are reduced first and the calls join only that small remainder.
     """
-    called = normalize_gt(filter_quality(calls, qual, dp))
-    located = range_join_inner(called, regions, start=start, stop=stop, shift=shift, pad=pad)
+    harmful = filter_high_risk(join_on_variant(variants, coding), threshold=kav_freq)
+    located = range_join_inner(harmful, regions, start=start, stop=stop, shift=shift, pad=pad)
     located = located.withColumns(
         {"region_start": F.col(start) + (shift - pad), "region_stop": F.col(stop) + (shift + pad)}
     ).drop(start, stop)
-    joined = join_on_variant(join_on_variant(located, variants), coding)
-    return filter_high_risk(joined, threshold=kav_freq)
+    return join_on_variant(normalize_gt(filter_quality(calls, qual, dp)), located)

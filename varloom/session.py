@@ -20,6 +20,13 @@ ADAPTIVE = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Applies the adaptive settings to a session made elsewhere."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the adaptive settings the operators are written for."""
     builder = SparkSession.builder.appName(app)
