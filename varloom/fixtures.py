@@ -11,7 +11,18 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+# Columns the views use; a given schema saves Spark from opening the files to infer one.
+BASE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double, props string",
+}
+BASE_TABLES = list(BASE_SCHEMAS)
 
 _CHROM = """CASE WHEN {key} % 25 < 22 THEN CAST({key} % 25 + 1 AS STRING)
     WHEN {key} % 25 = 22 THEN 'X' WHEN {key} % 25 = 23 THEN 'Y' ELSE 'M' END"""
@@ -161,11 +172,15 @@ def ctes(*names: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table or a view over the Parquet files in ``sf_dir``."""
-    if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    def base(table: str) -> DataFrame:
+        return spark.read.schema(BASE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+    if name in BASE_SCHEMAS:
+        return base(name)
     text = ctes(name)
     words = set(re.findall(r"\w+", text))
-    for table in BASE_TABLES:
+    for table in BASE_SCHEMAS:
         if table in words:
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            base(table).createOrReplaceTempView(table)
     return spark.sql(f"WITH {text}\nSELECT * FROM {name}")
