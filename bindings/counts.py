@@ -66,9 +66,9 @@ def distinct_variants(t):
     return A.distinct_variants(t("calls"))
 
 
-@query("order_desc", sql("feature_fm", "SELECT * FROM feature_fm WHERE feature_id LIKE '%METH%' ORDER BY chr DESC"))
+@query("order_desc", sql("feature_fm", "SELECT * FROM feature_fm WHERE feature_id LIKE '%METH%' ORDER BY chr DESC, feature_id"))
 def order_desc(t):
-    return A.order_desc(t("feature_fm"), "feature_id", "%METH%", "chr")
+    return A.order_desc(t("feature_fm"), "feature_id", "%METH%", "chr", then=["feature_id"])
 
 
 @query("preview", sql("feature_fm", "SELECT * FROM feature_fm ORDER BY feature_id LIMIT 5"))

@@ -219,6 +219,6 @@ def nbs_high_risk(t):
     known = t("sites").select(*key)
     for table, column in {"kaviar": "kav_freq", "clinvar": "clin_sig", "dbnsfp": "dann_score"}.items():
         known = known.join(t(table).select(*key, column), key, "left")
-    calls = t("calls").select("sample_id", *key, "qual", "dp", "gt")
+    calls = t("calls").select("sample_id", *key, "blk_pos", "qual", "dp", "gt")
     regions = locate_genes(t("gene_list"), t("genes")).drop("strand", "phenotype")
-    return P.nbs_high_risk(calls, regions, known, t("coding").select(*key, "effect", "impact"))
+    return P.nbs_high_risk(calls, regions, known, t("coding").select(*key, "effect", "impact")).drop("blk_pos")

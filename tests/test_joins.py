@@ -48,6 +48,31 @@ def test_binned_join_equals_plain_join(spark, width, how):
     assert rows(range_join(points, intervals, how, width=width), *columns) == rows(plain, *columns)
 
 
+def test_many_listed_bins_are_not_broadcast(spark, monkeypatch):
+    """A few intervals that cover very many bins would outgrow a broadcast that only counts intervals."""
+    points = spark.range(0, 1000).select(F.lit("1").alias("chrom"), F.col("id").cast("int").alias("pos"))
+    genes = spark.createDataFrame([("1", 0, 2_000_000, "long"), ("1", 10, 20, "short")], "chrom string, start int, stop int, gene string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(range_join(points, genes, width=100_000))
+    wide = range_join(points, genes, width=1)
+    assert "BroadcastHashJoin" not in plan(wide)
+    assert wide.where("gene = 'long'").count() == 1000 and wide.where("gene = 'short'").count() == 11
+
+
+def test_only_the_blocks_of_the_regions_are_read(spark, tmp_path):
+    path = str(tmp_path / "calls")
+    calls = spark.range(0, 400).select(
+        (F.col("id") % 2 + 1).cast("string").alias("chrom"), (F.col("id") * 50_000).cast("int").alias("pos"), "id"
+    )
+    calls = calls.withColumn("blk_pos", F.floor(F.col("pos") / 1_000_000).cast("int"))
+    calls.write.partitionBy("chrom", "blk_pos").parquet(path)
+    stored = spark.read.schema(calls.schema).parquet(path)
+    genes = spark.createDataFrame([("1", 2_900_000, 3_100_000, "a")], "chrom string, start int, stop int, gene string")
+    out = range_join_inner(stored, genes, block="blk_pos", width=1_000_000)
+    assert rows(out, "id") == rows(range_join_inner(calls, genes), "id") == [(58,), (60,), (62,)]
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_interval_allele_join_meets_once(spark):
     calls = spark.createDataFrame(
         [("s", "1", 95, 105, "A", "T", "T"), ("s", "1", 95, 105, "A", "A", "T"), ("s", "1", 95, 105, "A", "A", "G")],

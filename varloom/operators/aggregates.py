@@ -68,9 +68,12 @@ def summarize_findings(df: DataFrame, result_class: str = "var_class", by: str =
 # --- order and limit ------------------------------------------------------------------------------------------------
 
 
-def order_desc(df: DataFrame, column: str, pattern: str, by: str) -> DataFrame:
-    """Rows with ``column`` LIKE ``pattern``, highest ``by`` first."""
-    return df.where(F.col(column).like(pattern)).orderBy(F.desc(by))
+def order_desc(df: DataFrame, column: str, pattern: str, by: str, then: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``column`` LIKE ``pattern``, highest ``by`` first.
+
+    ``then`` breaks ties, so that the sort can split the rows of one chromosome over tasks.
+    """
+    return df.where(F.col(column).like(pattern)).orderBy(F.desc(by), *then)
 
 
 def preview(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:

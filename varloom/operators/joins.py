@@ -31,9 +31,15 @@ def keyed_join(
     return joined.select(*left.columns, *extra)
 
 
-def join_on_variant(left: DataFrame, right: DataFrame, strategy: str | None = None) -> DataFrame:
-    """Inner join on (chrom, pos, ref, alt)."""
-    return keyed_join(left, right, S.VARIANT_KEY, "inner", strategy)
+def join_on_variant(
+    left: DataFrame, right: DataFrame, strategy: str | None = None, key: KeyList = S.VARIANT_KEY
+) -> DataFrame:
+    """Inner join on (chrom, pos, ref, alt).
+
+    With ``key=BLOCK_KEY`` the position block joins too, so a table stored by block is read only where the other side
+    has variants.
+    """
+    return keyed_join(left, right, key, "inner", strategy)
 
 
 def left_join_variant(left: DataFrame, right: DataFrame, strategy: str | None = None) -> DataFrame:

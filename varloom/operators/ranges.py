@@ -11,22 +11,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom import schema as S
-from varloom.operators.hints import with_strategy
+from varloom.operators.hints import MAX_BROADCAST_ROWS, with_strategy
 
-_BIN, _LO, _HI, _CHROM = "__bin", "__lo", "__hi", "__chrom"
+_BIN, _BUILD_BIN, _LO, _HI, _CHROM = "__bin", "__build_bin", "__lo", "__hi", "__chrom"
 
 
 def _bin(position: Column, width: int) -> Column:
     return F.floor(position / width)
 
 
-def _binned(df: DataFrame, lo: Column, hi: Column, width: int) -> DataFrame:
+def _binned(df: DataFrame, lo: Column, hi: Column, width: int, name: str) -> DataFrame:
     """One row per bin of [lo, hi]; intervals that hold no position are left out."""
-    return (
-        df.withColumns({_LO: lo, _HI: hi})
-        .where(F.col(_LO) <= F.col(_HI))
-        .withColumn(_BIN, F.explode(F.sequence(_bin(F.col(_LO), width), _bin(F.col(_HI), width))))
-    )
+    bins = F.sequence(_bin(F.col(_LO), width), _bin(F.col(_HI), width))
+    return df.withColumns({_LO: lo, _HI: hi}).where(F.col(_LO) <= F.col(_HI)).withColumn(name, F.explode(bins))
+
+
+def binned_rows(intervals: DataFrame, lo: Column, hi: Column, width: int) -> int:
+    """Number of rows the intervals give when listed by bin, from one sum over the intervals."""
+    n = F.when(lo <= hi, _bin(hi, width) - _bin(lo, width) + 1)
+    return intervals.agg(F.coalesce(F.sum(n), F.lit(0))).collect()[0][0]
 
 
 def range_join(
@@ -41,24 +44,36 @@ def range_join(
     shift: int = 0,
     pad: int = 0,
     width: int = S.RANGE_BIN_WIDTH,
+    block: str | None = None,
     strategy: str | None = None,
 ) -> DataFrame:
     """Points with the intervals that hold them: same chromosome, start <= pos <= stop.
 
     ``shift`` moves both bounds, ``pad`` widens the interval on both sides. Columns both sides have are taken from
     the points. ``left_semi`` and ``left_anti`` keep or drop the points that lie in any interval.
+
+    ``block`` names a column of the points that holds floor(pos / ``width``); where the points are stored by it, only the
+    partitions that some interval touches are read.
+
+    Spark's size estimate does not see that listing by bin multiplies the intervals. So without a ``strategy`` the
+    listed rows are counted first: few enough are broadcast, which leaves the points where they are, and more are
+    joined by shuffle, where a hot bin is split at run time.
     """
     lo, hi = F.col(start) + (shift - pad), F.col(stop) + (shift + pad)
     extra = [] if how in ("left_semi", "left_anti") else [c for c in intervals.columns if c not in points.columns]
-    build = _binned(intervals, lo, hi, width).select(F.col(chrom).alias(_CHROM), _BIN, _LO, _HI, *extra)
-    build = build.withColumnRenamed(_BIN, f"{_BIN}_r")
-    probe = points.withColumn(_BIN, _bin(F.col(pos), width))
-    match = (
-        (F.col(chrom) == F.col(_CHROM))
-        & (F.col(_BIN) == F.col(f"{_BIN}_r"))
-        & F.col(pos).between(F.col(_LO), F.col(_HI))
-    )
-    return probe.join(with_strategy(build, strategy), match, how).select(*points.columns, *extra)
+    build = _binned(intervals, lo, hi, width, _BUILD_BIN).select(F.col(chrom).alias(_CHROM), _BUILD_BIN, _LO, _HI, *extra)
+    if strategy is None:
+        fits = binned_rows(intervals, lo, hi, width) <= MAX_BROADCAST_ROWS
+        build = F.broadcast(build) if fits else build.hint("shuffle_merge")
+    else:
+        build = with_strategy(build, strategy)
+    if block is None:
+        probe, at = points.withColumn(_BIN, _bin(F.col(pos), width)), F.col(_BIN)
+    else:
+        probe, at = points, F.col(block)
+        build = build.withColumn(_BUILD_BIN, F.col(_BUILD_BIN).cast(points.schema[block].dataType))
+    match = (F.col(chrom) == F.col(_CHROM)) & (at == F.col(_BUILD_BIN)) & F.col(pos).between(F.col(_LO), F.col(_HI))
+    return probe.join(build, match, how).select(*points.columns, *extra)
 
 
 def range_join_inner(points: DataFrame, intervals: DataFrame, **options) -> DataFrame:
@@ -76,17 +91,18 @@ def interval_allele_join(
     """Two-allele interval calls with the known variants they carry.
 
     Same chromosome and reference allele, known position inside [start, stop], and the known alt equal to either
-    allele. The alternatives stay in one residual, so a call with both alleles equal meets a variant once.
+    allele. The alternatives stay in one residual, so a call with both alleles equal meets a variant once. The calls
+    are the binned side: nearly all lie in one bin, and the known variants keep one row each.
     """
     extra = [c for c in known.columns if c not in calls.columns]
-    probe = _binned(calls, F.col("start"), F.col("stop"), width)
-    build = known.withColumn(f"{_BIN}_r", _bin(F.col("pos"), width)).withColumnRenamed("ref", "__ref")
-    build = build.select(f"{_BIN}_r", "__ref", *extra)
+    probe = _binned(calls, F.col("start"), F.col("stop"), width, _BIN)
+    build = known.withColumn(_BUILD_BIN, _bin(F.col("pos"), width)).withColumnRenamed("ref", "__ref")
+    build = with_strategy(build.select(_BUILD_BIN, "__ref", *extra), strategy)
     match = (
         (F.col("chr") == F.col("chrom"))
         & (F.col("ref") == F.col("__ref"))
-        & (F.col(_BIN) == F.col(f"{_BIN}_r"))
+        & (F.col(_BIN) == F.col(_BUILD_BIN))
         & F.col("pos").between(F.col("start"), F.col("stop"))
         & ((F.col("alt") == F.col("allele1seq")) | (F.col("alt") == F.col("allele2seq")))
     )
-    return probe.join(with_strategy(build, strategy), match).select(*calls.columns, *extra)
+    return probe.join(build, match).select(*calls.columns, *extra)

@@ -63,23 +63,20 @@ def filter_missing(calls: DataFrame, max_missing: float = 0.999, site: Sequence[
     return missing_rate(calls, site).where(F.col("missing_rate") <= max_missing)
 
 
-def biallelic_only(df: DataFrame, min_alt: int = 0, site: Sequence[str] = ("chrom", "pos")) -> DataFrame:
-    """Rows of sites with one alternate allele (none multi-valued) and, if asked, enough alternate alleles.
+def biallelic_only(
+    df: DataFrame, min_alt: int = 0, max_missing: float | None = None, site: Sequence[str] = ("chrom", "pos")
+) -> DataFrame:
+    """Rows of sites with one alternate allele (none multi-valued) and, if asked, enough alternate alleles or calls.
 
-    A site fails when any row lists several alleles or two rows disagree on ref or alt.
+    A site fails when any row lists several alleles or two rows disagree on ref or alt. The share of missing calls
+    is taken in the same aggregate.
     """
-    stats = df.groupBy(*site).agg(
-        *[f(c).alias(f"{f.__name__}_{c}") for c in ("ref", "alt") for f in (F.min, F.max)],
-        F.max(F.col("alt").contains(",")).alias("multi"),
-        F.coalesce(F.sum("dosage"), F.lit(0)).alias("alt_alleles"),
-    )
-    kept = stats.where(
-        (F.col("min_ref") == F.col("max_ref"))
-        & (F.col("min_alt") == F.col("max_alt"))
-        & ~F.col("multi")
-        & (F.col("alt_alleles") >= min_alt)
-    )
-    return df.join(kept.select(*site), list(site), "left_semi")
+    single = (F.min("ref") == F.max("ref")) & (F.min("alt") == F.max("alt")) & ~F.max(F.col("alt").contains(","))
+    keep = single & (F.coalesce(F.sum("dosage"), F.lit(0)) >= min_alt)
+    if max_missing is not None:
+        keep = keep & (F.avg(F.col("dosage").isNull().cast("int")) <= max_missing)
+    kept = df.groupBy(*site).agg(keep.alias("keep")).where("keep").select(*site)
+    return df.join(kept, list(site), "left_semi")
 
 
 def population_frequency(

@@ -26,9 +26,7 @@ def reference_markers(
 def subject_genotypes(calls: DataFrame, markers: DataFrame, max_missing: float = 0.999) -> DataFrame:
     """Subject calls at marker positions: biallelic sites with few missing calls, every variant with an id."""
     at_markers = dosage(members_in(calls, markers, ["chrom", "pos"]))
-    usable = A.biallelic_only(at_markers)
-    called = members_in(usable, A.filter_missing(usable, max_missing), S.VARIANT_KEY)
-    return missing_ids(called)
+    return missing_ids(A.biallelic_only(at_markers, max_missing=max_missing))
 
 
 def ancestry_inputs(
@@ -46,7 +44,7 @@ def ancestry_inputs(
     dosages = stage(A.sample_dosages(dosage(reference_calls)), "reference")
     markers = stage(reference_markers(dosages, **marker_options), "markers")
     reference = members_in(dosages, markers, S.VARIANT_KEY)
-    subjects = A.sample_dosages(subject_genotypes(subject_calls, markers))
+    subjects = stage(A.sample_dosages(subject_genotypes(subject_calls, markers)), "subjects")
     merged = merge_genotypes(reference, subjects).withColumnRenamed("subject_id", "sample")
     known = map_population(merged, panel, level)
     ordered = known.join(panel.select("sample", "super_pop", "pop"), "sample", "left")

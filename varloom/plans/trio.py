@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom import schema as S
 from varloom.functions.columns import (
-    normalize_gt, with_clin_patho, with_family_id, with_kaviar_rare, with_member, with_member_lookup,
+    normalize_gt, with_blk_pos, with_clin_patho, with_family_id, with_kaviar_rare, with_member, with_member_lookup,
     with_predicted_damaging, with_var_id,
 )
 from varloom.functions.predicates import filter_autosomes, filter_high_risk, filter_quality, filter_trio, label_predictive
@@ -23,6 +23,11 @@ CALL_COLUMNS = ["sample_id", "chrom", "pos", "ref", "alt", "qual", "filter", "gt
 EFFECT_COLUMNS = ["effect", "impact", "feature_id", "biotype", "hgvs_c", "hgvs_p"]
 
 
+def _blocks(calls: DataFrame) -> dict:
+    """Range-join options for calls that carry their position block."""
+    return {"block": "blk_pos", "width": S.BLOCK_WIDTH} if "blk_pos" in calls.columns else {}
+
+
 def region_variants(
     regions: DataFrame,
     *,
@@ -68,12 +73,12 @@ def annotate_trios(
 
     The variants are annotated once each; the calls only take part in a semi join with the small region list, one
     deduplication and one join on the variant key. Both inputs of that join are free of copies, so its result is too.
+    Calls stored by (chrom, blk_pos) are read only in the blocks of the regions.
     """
     variants = region_variants(regions, start=start, stop=stop, **tables)
     picked = filter_trio(filter_autosomes(calls), members, samples)
-    picked = normalize_gt(picked.select(*CALL_COLUMNS, *keep))
-    located = range_join(picked, regions, "left_semi", start=start, stop=stop).distinct()
-    return join_on_variant(located, variants)
+    located = range_join(picked, regions, "left_semi", start=start, stop=stop, **_blocks(calls))
+    return join_on_variant(normalize_gt(located.select(*CALL_COLUMNS, *keep)).distinct(), variants)
 
 
 def classify(annotated: DataFrame, same_family: bool = True) -> DataFrame:
@@ -91,8 +96,10 @@ def classify(annotated: DataFrame, same_family: bool = True) -> DataFrame:
 def acmg_report(calls: DataFrame, regions: DataFrame, members: DataFrame | None = None, **tables) -> DataFrame:
     """Reportable-gene findings. Members come from a lookup table, or from the calls when they have the column."""
     same_family = tables.pop("same_family", True)
-    known = with_member_lookup(calls.drop("member"), members) if members is not None else calls
-    return classify(annotate_trios(known, regions, keep=["member", "family_id"], **tables), same_family)
+    if members is None:
+        return classify(annotate_trios(calls, regions, keep=["member", "family_id"], **tables), same_family)
+    annotated = annotate_trios(calls, regions, keep=["family_id"], **tables)
+    return classify(with_member_lookup(annotated, members), same_family)
 
 
 def nbs_annotated(calls: DataFrame, regions: DataFrame, **tables) -> DataFrame:
@@ -131,4 +138,7 @@ def nbs_high_risk(
     located = located.withColumns(
         {"region_start": F.col(start) + (shift - pad), "region_stop": F.col(stop) + (shift + pad)}
     ).drop(start, stop)
-    return join_on_variant(normalize_gt(filter_quality(calls, qual, dp)), located)
+    called = normalize_gt(filter_quality(calls, qual, dp))
+    if "blk_pos" not in calls.columns:
+        return join_on_variant(called, located)
+    return join_on_variant(called, with_blk_pos(located), key=S.BLOCK_KEY)
