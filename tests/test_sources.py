@@ -112,8 +112,10 @@ def test_tables(spark, variants):
     IO.compute_stats(spark, "stored_variants")
     details = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED stored_variants").collect()}
     assert "4 rows" in details["Statistics"]
-    listed = IO.describe_tables(spark)
-    assert ("stored_variants", "pos", "int") in listed
+    variants.createOrReplaceTempView("passing_variants")
+    listed = rows(IO.describe_tables(spark))
+    assert ("default", "stored_variants", "pos", "int") in listed and ("", "passing_variants", "pos", "int") in listed
+    assert rows(IO.describe_tables(spark, "default")) == listed
     spark.sql("DROP TABLE stored_variants")
 
 

@@ -93,7 +93,8 @@ def with_predicted_damaging(
     df: DataFrame, dann: float | None = None, calls: Mapping[str, str] = S.DAMAGING_CALLS
 ) -> DataFrame:
     """Y when any predictor present in ``df`` reports its damaging letter or the DANN score reaches the cutoff."""
-    tests = [F.col(name).contains(letter) for name, letter in calls.items() if name in df.columns]
+    listed = df.columns
+    tests = [F.col(name).contains(letter) for name, letter in calls.items() if name in listed]
     if dann is not None:
         tests.append(F.col("dann_score") >= dann)
     return df.withColumn("predicted_damaging", _label(reduce(or_, tests)))

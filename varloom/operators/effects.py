@@ -51,7 +51,8 @@ def finalize_effects(df: DataFrame, width: int = S.BLOCK_WIDTH) -> DataFrame:
 
 def to_vcf_rows(df: DataFrame, qual: int = 100, filter_: str = "PASS", gt: str | None = None) -> DataFrame:
     """Variant rows in VCF column order, with constants where the table has no value."""
-    alt = "alt" if "alt" in df.columns else "allele"
+    listed = df.columns
+    alt = "alt" if "alt" in listed else "allele"
     columns = ["qual", "filter"]
     constants = {"qual": F.lit(qual), "filter": F.lit(filter_)}
     call = F.lit(".") if gt is None else F.coalesce(F.col(gt), F.lit("."))
@@ -61,7 +62,7 @@ def to_vcf_rows(df: DataFrame, qual: int = 100, filter_: str = "PASS", gt: str |
         F.col("var_id").alias("ID"),
         F.col("ref").alias("REF"),
         F.col(alt).alias("ALT"),
-        *[(F.col(c) if c in df.columns else constants[c]).alias(c.upper()) for c in columns],
+        *[(F.col(c) if c in listed else constants[c]).alias(c.upper()) for c in columns],
         F.lit(".").alias("INFO"),
         F.lit("GT").alias("FORMAT"),
         call.alias("GT"),

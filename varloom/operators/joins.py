@@ -17,18 +17,14 @@ from varloom.operators.hints import with_strategy
 KeyList = Sequence[str]
 
 
-def _payload(left: DataFrame, right: DataFrame, on: KeyList) -> list[str]:
-    """Columns the right side adds."""
-    return [c for c in right.columns if c not in on and c not in left.columns]
-
-
 def keyed_join(
     left: DataFrame, right: DataFrame, on: KeyList, how: str = "inner", strategy: str | None = None
 ) -> DataFrame:
     """Equality join that keeps the left columns in order and appends the columns only the right side has."""
-    extra = _payload(left, right, on)
+    kept = left.columns
+    extra = [c for c in right.columns if c not in on and c not in kept]
     joined = left.join(with_strategy(right.select(*on, *extra), strategy), list(on), how)
-    return joined.select(*left.columns, *extra)
+    return joined.select(*kept, *extra)
 
 
 def join_on_variant(

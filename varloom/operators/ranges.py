@@ -60,7 +60,8 @@ def range_join(
     joined by shuffle, where a hot bin is split at run time.
     """
     lo, hi = F.col(start) + (shift - pad), F.col(stop) + (shift + pad)
-    extra = [] if how in ("left_semi", "left_anti") else [c for c in intervals.columns if c not in points.columns]
+    kept = points.columns
+    extra = [] if how in ("left_semi", "left_anti") else [c for c in intervals.columns if c not in kept]
     build = _binned(intervals, lo, hi, width, _BUILD_BIN).select(F.col(chrom).alias(_CHROM), _BUILD_BIN, _LO, _HI, *extra)
     if strategy is None:
         fits = binned_rows(intervals, lo, hi, width) <= MAX_BROADCAST_ROWS
@@ -73,7 +74,7 @@ def range_join(
         probe, at = points, F.col(block)
         build = build.withColumn(_BUILD_BIN, F.col(_BUILD_BIN).cast(points.schema[block].dataType))
     match = (F.col(chrom) == F.col(_CHROM)) & (at == F.col(_BUILD_BIN)) & F.col(pos).between(F.col(_LO), F.col(_HI))
-    return probe.join(build, match, how).select(*points.columns, *extra)
+    return probe.join(build, match, how).select(*kept, *extra)
 
 
 def range_join_inner(points: DataFrame, intervals: DataFrame, **options) -> DataFrame:
@@ -94,7 +95,8 @@ def interval_allele_join(
     allele. The alternatives stay in one residual, so a call with both alleles equal meets a variant once. The calls
     are the binned side: nearly all lie in one bin, and the known variants keep one row each.
     """
-    extra = [c for c in known.columns if c not in calls.columns]
+    kept = calls.columns
+    extra = [c for c in known.columns if c not in kept]
     probe = _binned(calls, F.col("start"), F.col("stop"), width, _BIN)
     build = known.withColumn(_BUILD_BIN, _bin(F.col("pos"), width)).withColumnRenamed("ref", "__ref")
     build = with_strategy(build.select(_BUILD_BIN, "__ref", *extra), strategy)
@@ -105,4 +107,4 @@ def interval_allele_join(
         & F.col("pos").between(F.col("start"), F.col("stop"))
         & ((F.col("alt") == F.col("allele1seq")) | (F.col("alt") == F.col("allele2seq")))
     )
-    return probe.join(build, match).select(*calls.columns, *extra)
+    return probe.join(build, match).select(*kept, *extra)

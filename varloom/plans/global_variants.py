@@ -19,6 +19,11 @@ CODING_COLUMNS = ["effect", "impact", "feature", "feature_id", "biotype", "rank"
 GENE_COLUMNS = ["strand", "gene_name", "gene_id", "transcript_name", "transcript_id", "exon_name", "exon_number"]
 
 
+def _present(table: DataFrame, names: Sequence[str]) -> list[str]:
+    listed = table.columns
+    return [c for c in names if c in listed]
+
+
 def _by_allele(table: DataFrame) -> DataFrame:
     return table.withColumnRenamed("alt", "allele")
 
@@ -51,9 +56,9 @@ def global_variants(
     ]
     for step, table in steps:
         variants = step(variants, _by_allele(table), key=KEY)
-    effects = _by_allele(coding).select(*KEY, *[c for c in CODING_COLUMNS if c in coding.columns])
+    effects = _by_allele(coding).select(*KEY, *_present(coding, CODING_COLUMNS))
     variants = J.join_coding(variants, effects, coding_how, key=KEY)
-    located = genes.select("chrom", start, stop, *[c for c in GENE_COLUMNS if c in genes.columns])
+    located = genes.select("chrom", start, stop, *_present(genes, GENE_COLUMNS))
     variants = range_join(variants, located, "left", start=start, stop=stop).drop(start, stop)
     rated = with_ppc_rating(with_var_type(variants, alt="allele"), alt="allele")
     return with_var_id(rated, alt="allele")

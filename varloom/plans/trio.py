@@ -48,7 +48,8 @@ def region_variants(
     """
     listed = filter_autosomes(effects).select(*S.VARIANT_KEY, *EFFECT_COLUMNS)
     located = range_join_inner(listed, regions, start=start, stop=stop).drop(start, stop)
-    predictions = [c for c in S.DAMAGING_CALLS if c in dbnsfp.columns]
+    scored_by = dbnsfp.columns
+    predictions = [c for c in S.DAMAGING_CALLS if c in scored_by]
     scores = dbnsfp.select(*S.LOCUS_ALT_KEY, *predictions, "cadd_raw", "dann_score", "interpro_domain")
     known = clinvar.select(*S.LOCUS_ALT_KEY, "clin_sig", "clin_dbn")
     scored = join_locus_alt(join_locus_alt(located, scores, "inner"), known, "left")

@@ -42,14 +42,17 @@ def variant_union_view(
     return left.sparkSession.table(name)
 
 
-def describe_tables(spark: SparkSession, database: str | None = None) -> list[tuple[str, str, str]]:
-    """(table, column, type) of every table and view the session sees in a database."""
-    where = database or spark.catalog.currentDatabase()
-    return [
-        (table.name, column.name, column.dataType)
-        for table in spark.catalog.listTables(database)
-        for column in spark.catalog.listColumns(table.name if table.isTemporary else f"{where}.{table.name}")
-    ]
+def describe_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """Column listing (database, table, column, type) of one database, or of every database; temporary views included."""
+    names = [database] if database else [d.name for d in spark.catalog.listDatabases()]
+    found = {}
+    for name in names:
+        for table in spark.catalog.listTables(name):
+            place = "" if table.isTemporary else name
+            for column in spark.catalog.listColumns(f"{place}.{table.name}" if place else table.name):
+                found[(place, table.name, column.name)] = column.dataType
+    rows = [(*key, kind) for key, kind in sorted(found.items())]
+    return spark.createDataFrame(rows, "database string, table string, column string, type string")
 
 
 def compute_stats(spark: SparkSession, table: str) -> None:
