@@ -88,7 +88,7 @@ def test_members_and_families(spark):
 
 def test_filter_trio(spark):
     df = spark.createDataFrame([("a-01",), ("a-02",), ("a-03",), ("b-03",)], "sample_id string")
-    assert rows(V.filter_trio(df)) == rows(df)
+    assert rows(V.filter_trio(df)) == rows(V.filter_trio(df, [], [])) == rows(df)
     assert column(V.filter_trio(df, ["NB"]), "sample_id") == ["a-03", "b-03"]
     assert column(V.filter_trio(df, ["NB", "F"], ["a-01", "a-02", "b-03"]), "sample_id") == ["a-02", "b-03"]
 

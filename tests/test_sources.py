@@ -135,6 +135,8 @@ def test_pipe_runs_one_process_per_partition(spark, variants):
     out = E.pipe_partitions(lines, "sed s/^/9/", schema)
     assert rows(out) == [("91", 5), ("91", 2_000_000), ("92", 7)]
     assert E.pipe_partitions(lines, "sed s/^/#/", schema).count() == 0
+    gaps = E.pipe_partitions(variants.select(F.lit(None).cast("string").alias("chrom"), F.lit(None).alias("pos")), "cat", schema)
+    assert set(rows(gaps)) == {(".", None)}
     with pytest.raises(Exception, match="non-zero|return"):
         E.pipe_partitions(lines, "false", schema).count()
 
@@ -144,8 +146,9 @@ def test_effect_text(spark):
         [("v1", "DP=3;ANN=C|missense_variant|MODERATE|G|g1|transcript|T1|coding|2/5|c.1|p.1|||| ,C|x|LOW"), ("v2", "DP=3"), ("v3", None)],
         "var_id string, info string",
     )
-    out = rows(E.explode_effects(df), "var_id", "effect_no", "effect", "impact", "hgvs_p")
-    assert sorted(out, key=repr) == sorted([("v1", 0, "missense_variant", "MODERATE", "p.1"), ("v1", 1, "x", "LOW", None)], key=repr)
+    out = rows(E.explode_effects(df), "var_id", "effect_no", "effect", "impact", "rank", "hgvs_p")
+    want = [("v1", 0, "missense_variant", "MODERATE", 2, "p.1"), ("v1", 1, "x", "LOW", None, None)]
+    assert sorted(out, key=repr) == sorted(want, key=repr)
     assert rows(E.first_effect(df), "var_id", "effect", "gene") == [("v1", "missense_variant", "G")]
 
 

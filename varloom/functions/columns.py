@@ -97,7 +97,7 @@ def with_predicted_damaging(
     tests = [F.col(name).contains(letter) for name, letter in calls.items() if name in listed]
     if dann is not None:
         tests.append(F.col("dann_score") >= dann)
-    return df.withColumn("predicted_damaging", _label(reduce(or_, tests)))
+    return df.withColumn("predicted_damaging", _label(reduce(or_, tests, F.lit(False))))
 
 
 def with_member(df: DataFrame, suffixes: Mapping[str, str] = S.MEMBER_SUFFIXES, sample: str = "sample_id") -> DataFrame:

@@ -36,10 +36,10 @@ def filter_trio(
     suffixes: Mapping[str, str] = S.MEMBER_SUFFIXES,
     sample: str = "sample_id",
 ) -> DataFrame:
-    """Keeps the named trio members (by id suffix) and sample ids; ``all`` sets no filter."""
-    if members != "all":
-        df = df.where(reduce(or_, [F.col(sample).endswith(suffixes[m]) for m in members], F.lit(False)))
-    if samples != "all":
+    """Keeps the named trio members (by id suffix) and sample ids; ``all`` or an empty list sets no filter."""
+    if members and members != "all":
+        df = df.where(reduce(or_, [F.col(sample).endswith(suffixes[m]) for m in members]))
+    if samples and samples != "all":
         df = df.where(F.col(sample).isin(*samples))
     return df
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +17,9 @@ _EFFECT_OUTPUT = [
 
 
 def _field(parts: Column, name: str) -> Column:
-    """One sub-field by name; null when the entry is shorter or the field empty."""
+    """One sub-field by name; null when the entry is shorter or the field empty. The rank may read ``2/5``."""
     value = F.nullif(F.get(parts, F.lit(S.EFFECT_FIELDS.index(name))), F.lit(""))
-    return value.cast("int") if name == "rank" else value
+    return F.get(F.split(value, "/"), F.lit(0)).try_cast("int") if name == "rank" else value
 
 
 def _entries(info: str) -> Column:
@@ -69,22 +71,24 @@ def to_vcf_rows(df: DataFrame, qual: int = 100, filter_: str = "PASS", gt: str |
     )
 
 
-def vcf_line(df: DataFrame, name: str = "line") -> DataFrame:
-    """Each row as one tab-separated line; a missing value is a dot."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in df.columns]
-    return df.select(F.concat_ws("\t", *cells).alias(name))
+def tab_line(columns: Sequence[str]) -> Column:
+    """A row as one tab-separated line; a missing value is a dot."""
+    return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in columns])
 
 
 def pipe_partitions(df: DataFrame, command: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
     """Rows as tab text through one external process per partition, and its output lines back as typed rows.
 
-    Lines that start with ``#`` are skipped. A failing process fails its task, which Spark retries. Only the text
-    crosses to Python; lines are built and parsed by Spark functions.
+    Lines that start with ``#`` are skipped, and an empty or dotted cell of a non-text column is null. A failing process
+    fails its task, which Spark retries. Only the text crosses to Python; lines are built and parsed by Spark functions.
     """
-    text = vcf_line(df).rdd.map(lambda row: row[0])
+    text = df.select(tab_line(df.columns)).rdd.map(lambda row: row[0])
     piped = text.pipe(command, checkCode=True).filter(lambda line: line and not line.startswith("#"))
     lines = df.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string")
     cells = F.split("line", sep)
-    return lines.select(
-        *[F.get(cells, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
-    )
+
+    def cell(i: int, kind: T.DataType) -> Column:
+        value = F.get(cells, F.lit(i))
+        return value if kind == T.StringType() else F.when(~value.isin("", "."), value).cast(kind)
+
+    return lines.select(*[cell(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])

@@ -87,7 +87,6 @@ EFFECT_FIELDS = [
 ]
 
 VCF_HEADER = ["##fileformat=VCFv4.0", "##fileDate={date}", "##reference=grch37v47"]
-VCF_COLUMNS = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "GT"]
 
 # --- table schemas --------------------------------------------------------------------------------------------------
 

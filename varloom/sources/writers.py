@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from varloom import schema as S
 from varloom.functions.columns import date_stamp
-from varloom.operators.effects import vcf_line
+from varloom.operators.effects import tab_line
 
 __all__ = ["insert_partitioned", "load_effects", "materialize", "save_rows", "write_report", "write_variants", "write_vcf"]
 
@@ -25,14 +25,9 @@ def write_vcf(rows: DataFrame, path: str) -> None:
     header = F.array(*[F.replace(F.lit(h), F.lit("{date}"), date_stamp()) for h in S.VCF_HEADER], titles)
     top = spark.range(1).select(F.posexplode(header).alias("pos", "line"))
     top = top.select(F.lit(-1).alias("rank"), F.col("pos").cast("long"), "line")
-    ranks = F.array(*[F.lit(c) for c in S.CHROMOSOMES])
-    body = vcf_line(rows).select(
-        F.coalesce(F.nullif(F.array_position(ranks, F.split("line", "\t")[0]), F.lit(0)), F.lit(len(S.CHROMOSOMES) + 1))
-        .cast("int")
-        .alias("rank"),
-        F.split("line", "\t")[1].cast("long").alias("pos"),
-        "line",
-    )
+    place = F.array_position(F.array(*[F.lit(c) for c in S.CHROMOSOMES]), F.col("CHROM"))
+    rank = F.when(place > 0, place).otherwise(len(S.CHROMOSOMES) + 1).cast("int")
+    body = rows.select(rank.alias("rank"), F.col("POS").cast("long").alias("pos"), tab_line(rows.columns).alias("line"))
     top.unionByName(body).orderBy("rank", "pos", "line").select("line").write.mode("overwrite").text(path)
 
 
