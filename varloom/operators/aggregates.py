@@ -81,9 +81,10 @@ def preview(df: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*key).limit(n)
 
 
-def sort_panel(panel: DataFrame) -> DataFrame:
-    """Panel by super population, population, sample."""
-    return panel.orderBy("super_pop", "pop", "sample")
+def sort_panel(panel: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Panel by super population, population, sample; ``columns`` picks those of a two-column population file."""
+    ordered = panel.orderBy("super_pop", "pop", "sample")
+    return ordered.select(*columns) if columns else ordered
 
 
 def marker_list(df: DataFrame) -> DataFrame:

@@ -23,9 +23,9 @@ CALL_COLUMNS = ["sample_id", "chrom", "pos", "ref", "alt", "qual", "filter", "gt
 EFFECT_COLUMNS = ["effect", "impact", "feature_id", "biotype", "hgvs_c", "hgvs_p"]
 
 
-def _blocks(calls: DataFrame) -> dict:
-    """Range-join options for calls that carry their position block."""
-    return {"block": "blk_pos", "width": S.BLOCK_WIDTH} if "blk_pos" in calls.columns else {}
+def _blocks(points: DataFrame) -> dict:
+    """Range-join options for a table that carries its position block."""
+    return {"block": "blk_pos", "width": S.BLOCK_WIDTH} if "blk_pos" in points.columns else {}
 
 
 def region_variants(
@@ -46,8 +46,9 @@ def region_variants(
     Everything here depends on the variant alone, so its size follows the genome regions and not the cohort.
     Variants without a functional prediction or without an effect are not reported.
     """
-    listed = filter_autosomes(effects).select(*S.VARIANT_KEY, *EFFECT_COLUMNS)
-    located = range_join_inner(listed, regions, start=start, stop=stop).drop(start, stop)
+    blocks = _blocks(effects)
+    listed = filter_autosomes(effects).select(*S.VARIANT_KEY, *EFFECT_COLUMNS, *(["blk_pos"] if blocks else []))
+    located = range_join_inner(listed, regions, start=start, stop=stop, **blocks).drop(start, stop, "blk_pos")
     scored_by = dbnsfp.columns
     predictions = [c for c in S.DAMAGING_CALLS if c in scored_by]
     scores = dbnsfp.select(*S.LOCUS_ALT_KEY, *predictions, "cadd_raw", "dann_score", "interpro_domain")
