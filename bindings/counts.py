@@ -8,9 +8,9 @@ from bindings.registry import query, sql
 from varloom import schema as S
 from varloom.operators import aggregates as A
 from varloom.operators import quality as Q
-from varloom.operators.joins import join_on_variant, keyed_join
+from varloom.operators.joins import join_on_variant
 
-CHROMS = ", ".join(f"('{c}')" for c in S.CHROMOSOMES)
+CHROMS = ", ".join(f"('{c}')" for c in S.CHROMOSOMES if c != "M")
 
 
 @query(
@@ -111,15 +111,14 @@ def check_not_null(t):
 @query(
     "check_chrom_set",
     sql(
-        "clinvar gene_list genes",
+        "calls",
         f"""SELECT coalesce(f.chrom, e.c) AS chrom, CASE WHEN f.chrom IS NULL THEN 'missing' ELSE 'unexpected' END AS problem
-        FROM (SELECT DISTINCT g.chrom FROM gene_list l JOIN genes g ON l.gene = g.gene_name) f
+        FROM (SELECT DISTINCT chrom FROM calls) f
         FULL JOIN (VALUES {CHROMS}, ('MT')) e(c) ON f.chrom = e.c WHERE f.chrom IS NULL OR e.c IS NULL""",
     ),
 )
 def check_chrom_set(t):
-    listed = keyed_join(t("gene_list"), t("genes").withColumnRenamed("gene_name", "gene"), ["gene"])
-    return Q.check_chrom_set(listed, [*S.CHROMOSOMES, "MT"])
+    return Q.check_chrom_set(t("calls"), [*[c for c in S.CHROMOSOMES if c != "M"], "MT"])
 
 
 @query(

@@ -203,18 +203,18 @@ def adjusted_mac(t):
 @query(
     "clean_gene_list",
     sql(
-        "gene_list",
-        """SELECT gene AS Gene_Name, replace(replace(phenotype || ',a;b', ',', ':'), ';', ':') AS condition_,
-        inheritance, CASE WHEN inheritance = 'AD' THEN 'red' END AS level FROM gene_list""",
+        "clinvar",
+        """SELECT gene AS Gene_Name, replace(replace(clin_dbn || ',a;b', ',', ':'), ';', ':') AS condition_,
+        clin_sig AS rating, CASE WHEN clin_sig = '5' THEN 'red' END AS level FROM clinvar""",
     ),
 )
 def clean_gene_list(t):
-    raw = t("gene_list").select(
+    raw = t("clinvar").select(
         F.col("gene").alias("Gene Name"),
-        F.concat("phenotype", F.lit(",a;b")).alias("condition (#)"),
-        F.col("inheritance"),
+        F.concat("clin_dbn", F.lit(",a;b")).alias("condition (#)"),
+        F.col("clin_sig").alias("rating"),
     )
-    return C.clean_gene_list(raw, F.when(F.col("inheritance") == "AD", "red"))
+    return C.clean_gene_list(raw, F.when(F.col("rating") == "5", "red"))
 
 
 @query(

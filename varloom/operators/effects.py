@@ -84,7 +84,7 @@ def pipe_partitions(df: DataFrame, command: str, schema: T.StructType, sep: str
     """
     text = df.select(tab_line(df.columns)).rdd.map(lambda row: row[0])
     piped = text.pipe(command, checkCode=True).filter(lambda line: line and not line.startswith("#"))
-    lines = df.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string")
+    lines = df.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string", verifySchema=False)
     cells = F.split("line", sep)
 
     def cell(i: int, kind: T.DataType) -> Column:

@@ -34,7 +34,10 @@ def _with_frequency(counted: DataFrame) -> DataFrame:
 
 
 def sample_dosages(calls: DataFrame, marker: Sequence[str] = S.VARIANT_KEY, sample: str = "subject_id") -> DataFrame:
-    """One called dosage per sample and marker; repeated calls keep the larger."""
+    """One called dosage per sample and marker; repeated calls keep the larger.
+
+    It shuffles all calls. Calls known to be unique need only their ``dosage`` column and can skip it.
+    """
     return (
         calls.where(F.col("dosage").isNotNull()).groupBy(sample, *marker).agg(F.max("dosage").alias("dosage"))
     )
