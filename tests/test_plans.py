@@ -8,7 +8,7 @@ from bindings.registry import Tables
 from tests.conftest import rows
 from varloom import schema as S
 from varloom.functions import with_blk_pos
-from varloom.operators.joins import locate_genes
+from varloom.operators.joins import annotate_kaviar, locate_genes
 from varloom.operators.statistics import ld_pairs, marker_index
 from varloom.plans import trio as P
 from varloom.plans.overlap import SHAPES, variant_overlap_count
@@ -131,3 +131,28 @@ def test_high_risk_does_not_depend_on_the_block_column(spark, sf_dir):
     plain = P.nbs_high_risk(calls, regions, known, coding)
     blocked = P.nbs_high_risk(with_blk_pos(calls), regions, known, coding).drop("blk_pos")
     assert rows(plain, *sorted(plain.columns)) == rows(blocked, *sorted(plain.columns)) and plain.count() > 0
+
+
+def test_annotation_tables_are_pruned_with_the_variants(spark, sf_dir, tmp_path):
+    t = Tables(spark, sf_dir)
+    kept = {}
+    for name, columns in {"sites": ["var_id", "pos"], "kaviar": ["var_id", "kav_freq", "kav_source"]}.items():
+        df = t(name).select(*columns, "chrom", "blk_pos")
+        insert_partitioned(df, str(tmp_path / name))
+        kept[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    chosen = kept["sites"].where("chrom = '1' AND blk_pos = 0")
+    out = annotate_kaviar(chosen, kept["kaviar"])
+    filters = [line.split("PartitionFilters: ")[1] for line in plan(out).splitlines() if "FileScan" in line]
+    assert len(filters) == 2 and all("(chrom" in f and "(blk_pos" in f for f in filters)
+    whole = annotate_kaviar(t("sites"), t("kaviar")).where("chrom = '1' AND blk_pos = 0")
+    assert rows(out, "var_id", "kav_freq") == rows(whole, "var_id", "kav_freq")
+
+
+def test_partitioned_insert_balances_partitions(spark, sf_dir, tmp_path):
+    """Few files per partition, whatever the number of input tasks."""
+    calls = Tables(spark, sf_dir)("calls").select("var_id", "pos", "chrom", "blk_pos").repartition(16)
+    path = tmp_path / "calls"
+    insert_partitioned(calls, str(path))
+    files = list(path.rglob("*.parquet"))
+    assert len(files) == calls.select("chrom", "blk_pos").distinct().count()
+    assert spark.read.parquet(str(path)).count() == calls.count()

@@ -1,6 +1,10 @@
 """Allele statistics against plain Python on random cases; each case is a chromosome of its own."""
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -30,6 +34,26 @@ def test_thinning_equals_the_left_to_right_walk(spark, bp, width):
     assert rows(A.thin_markers(df, bp, width)) == want
 
 
+def test_functions_sent_to_executors_stand_alone(spark, tmp_path):
+    """A driver elsewhere, whose executors cannot import the package, still runs the Python operators."""
+    root = str(Path(__file__).resolve().parents[1])
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from varloom.session import build_session
+from varloom.operators.effects import pipe_partitions
+from varloom.operators.statistics import thin_markers
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+df = spark.createDataFrame([("1", 1), ("1", 2), ("1", 9)], "chrom string, pos int")
+assert thin_markers(df, 5).count() == 2
+assert pipe_partitions(df, "cat", df.schema).count() == 3
+print("fine")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
 def test_marker_index_equals_a_global_row_number(spark):
     rng = random.Random(1)
     data = [(rng.choice(["1", "2", "X"]), rng.randint(1, 500), rng.choice("AC"), rng.choice("GT")) for _ in range(600)]

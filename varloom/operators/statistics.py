@@ -177,11 +177,6 @@ def ld_prune(
 # --- thinning -------------------------------------------------------------------------------------------------------
 
 
-def _next_kept(pos: np.ndarray, bp: int) -> np.ndarray:
-    """For each position the index of the next one kept after it; the length of ``pos`` when there is none."""
-    return np.searchsorted(pos, pos + bp, side="left")
-
-
 def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> DataFrame:
     """Positions kept by walking each chromosome left to right and skipping any closer than ``bp`` to the last kept.
 
@@ -195,10 +190,15 @@ def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> D
     sites = df.select("chrom", "pos").dropna().distinct().withColumn("blk", F.floor(F.col("pos") / width))
     kind = sites.schema["pos"].dataType.simpleString()
 
+    # The functions below refer only to each other, numpy and pandas, so executors need no copy of this package.
+    def next_kept(pos: np.ndarray) -> np.ndarray:
+        """For each position the index of the next one kept after it; the length of ``pos`` when there is none."""
+        return np.searchsorted(pos, pos + bp, side="left")
+
     def tabulate(block: pd.DataFrame) -> pd.DataFrame:
         pos = np.sort(block["pos"].to_numpy())
         n = len(pos)
-        last = np.append(_next_kept(pos, bp), n)
+        last = np.append(next_kept(pos), n)
         last[last == n] = np.arange(n + 1)[last == n]
         while True:
             further = last[last]
@@ -230,7 +230,7 @@ def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> D
         kept = []
         if len(block) and len(entries):
             pos = np.sort(block["pos"].to_numpy())
-            following = _next_kept(pos, bp)
+            following = next_kept(pos)
             at = int(np.searchsorted(pos, entries["entry"].iloc[0], side="left"))
             while at < len(pos):
                 kept.append(at)
