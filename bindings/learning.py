@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, sql
 from varloom.operators import learning as L
-from varloom.session import stage
 
 FEATURES = ["f1", "f2", "f3", "f4"]
 
@@ -60,7 +59,7 @@ def split_data(t):
 def _trained(name: str, weights=(0.8, 0.2)):
     @query(f"train_{name}")
     def run(t):
-        train, test = L.split_data(stage(L.scale_features(_points(t)), "scaled"), weights, 7)
+        train, test = L.stage_split(L.scale_features(_points(t)), weights, 7)
         return L.evaluate(name, train, test)
 
 

@@ -32,12 +32,21 @@ def test_split_is_whole_and_repeatable(points):
     assert 0.7 < train.count() / 400 < 0.9
 
 
+def test_stored_split_is_whole_disjoint_and_repeatable(points):
+    numbered = points.withColumn("n", F.monotonically_increasing_id())
+    once, twice = [[{r.n for r in part.collect()} for part in L.stage_split(numbered, (7, 2, 1), 3)] for _ in range(2)]
+    assert once == twice and len(set.union(*once)) == 400 and sum(map(len, once)) == 400
+    assert 0.6 < len(once[0]) / 400 < 0.8 and 0.04 < len(once[2]) / 400 < 0.16
+
+
 def test_models_learn(points):
     out = {r.model: (r.metric, r.value) for r in L.compare_models(points).collect()}
     assert set(out) == {"svm", "linear", "logistic", "naive_bayes", "forest"}
     assert {m for m, (metric, _) in out.items() if metric == "mse"} == {"linear", "naive_bayes"}
-    assert out["svm"][1] == out["logistic"][1] == out["forest"][1] == 0
+    # Either class is linearly separable; a small forest that draws one feature per node need not find it every time.
+    assert out["svm"][1] == out["logistic"][1] == 0 and out["forest"][1] < 0.1
     assert out["linear"][1] < 0.05 and out["naive_bayes"][1] < 0.5
+    assert {r.model: (r.metric, r.value) for r in L.compare_models(points).collect()} == out
 
 
 def test_measures(spark):

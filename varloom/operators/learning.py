@@ -49,6 +49,18 @@ def split_data(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int =
     return df.randomSplit(list(weights), seed)
 
 
+def stage_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7) -> list[DataFrame]:
+    """Random parts for trainers that read their data many times.
+
+    The draw is stored with the rows, so a part is the same on every reading and after a lost executor, and the input is
+    computed once.
+    """
+    drawn = stage(df.withColumn("__draw", F.rand(seed)), "split")
+    edges = [sum(weights[:i]) / sum(weights) for i in range(len(weights))] + [1.0]
+    draw = F.col("__draw")
+    return [drawn.where((draw >= lo) & (draw < hi)).drop("__draw") for lo, hi in zip(edges, edges[1:])]
+
+
 def train_svm(train: DataFrame, iterations: int = 100) -> Model:
     return LinearSVC(maxIter=iterations).fit(train)
 
@@ -102,6 +114,6 @@ def evaluate(name: str, train: DataFrame, test: DataFrame) -> DataFrame:
 def compare_models(
     df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7, models: Sequence[str] = tuple(MODELS)
 ) -> DataFrame:
-    """One row per model on scaled features. The scaled data are staged once, since every trainer reads them again."""
-    train, test = split_data(stage(scale_features(df), "scaled"), weights, seed)
+    """One row per model on scaled features."""
+    train, test = stage_split(scale_features(df), weights, seed)
     return reduce(DataFrame.unionByName, [evaluate(name, train, test) for name in models])
