@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
+from varloom.llm.sharding import sharded
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +24,13 @@ def query(fn):
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(table(spark, sf_dir, "documents"))
