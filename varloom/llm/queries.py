@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
 from varloom.llm.sharding import sharded
+from varloom.llm.toxicity import toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +23,18 @@ def query(fn):
     return fn
 
 
+def remainder(n: int):
+    """crc32 of the doc_id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=remainder(3) != 1)
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted", "n_restored")
+
+
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
