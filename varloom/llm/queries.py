@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.llm.decontaminate import contaminated
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
 from varloom.llm.sharding import sharded
@@ -48,3 +49,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
