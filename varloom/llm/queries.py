@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.decontaminate import contaminated
+from varloom.llm.langid import identify
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
 from varloom.llm.sharding import sharded
@@ -54,3 +55,9 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(table(spark, sf_dir, "documents"), learn=remainder(4) != 2)
+    return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
