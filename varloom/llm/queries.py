@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.llm.decontaminate import contaminated
 from varloom.llm.langid import identify
+from varloom.llm.lmscore import scored
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
 from varloom.llm.sharding import sharded
@@ -61,3 +62,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(table(spark, sf_dir, "documents"), learn=remainder(4) != 2)
     return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scored(table(spark, sf_dir, "documents"), learn=remainder(10) != 0)
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False)).alias("held_out")
+    return out.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
