@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.llm.decontaminate import contaminated
 from varloom.llm.langid import identify
+from varloom.llm.lattice import near_vectors
 from varloom.llm.lmscore import scored
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
@@ -69,3 +70,8 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scored(table(spark, sf_dir, "documents"), learn=remainder(10) != 0)
     held_out = F.coalesce(remainder(10) == 0, F.lit(False)).alias("held_out")
     return out.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
