@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varloom.llm.chat import ORACLE as chat_sql
+from varloom.llm.chat import maximal_chats
 from varloom.llm.decontaminate import contaminated
 from varloom.llm.langid import identify
 from varloom.llm.lattice import near_vectors
+from varloom.llm.lines import duplicate_lines
 from varloom.llm.lmscore import scored
 from varloom.llm.mixing import mixed
 from varloom.llm.near_dedup import near_duplicates
@@ -75,3 +78,16 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maximal_chats(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op6_chat"] = chat_sql
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_lines(table(spark, sf_dir, "documents"))
