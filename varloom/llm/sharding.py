@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,7 +39,7 @@ def _lookup(table: dict, *keys: str) -> Column:
 
 def _propagate(state: DataFrame, shards: int, room: dict, loads: dict, seed: int) -> tuple[DataFrame, int]:
     """One round: documents of a group that are not in its fullest shard ask to go there; flows are cut to quotas."""
-    tally = state.where("link is not null").groupBy("link", "shard").agg(F.count("*").alias("n"))
+    tally = state.where("linked").groupBy("link", "shard").agg(F.count("*").alias("n"))
     best = tally.groupBy("link").agg(
         F.max(F.struct("n", F.xxhash64(F.lit(seed), "link", "shard").alias("draw"), F.col("shard").alias("best"))).alias("b"),
         F.count("*").alias("spread"),
@@ -53,17 +54,17 @@ def _propagate(state: DataFrame, shards: int, room: dict, loads: dict, seed: int
     total = defaultdict(int)
     for r in flows:
         total[r["shard"], r["best"]] += r["n"]
-    # Shards may grow a twentieth over their size between rounds; the last step takes it back.
-    free = {s: max(0, room[s] + room[s] // 20 + 1 - loads.get(s, 0)) for s in range(shards)}
-    quota = {}
-    for (a, b), n in sorted(total.items()):
-        swap = min(n, total.get((b, a), 0))
-        more = min(n - swap, free[b])
-        free[b] -= more
-        quota[a, b] = swap + more
-    limit = _limit(flows, ("shard", "best"), quota)
-    goes = F.col("best").isNotNull() & (F.col("part") < F.coalesce(_lookup(limit, "shard", "best"), F.lit(PARTS)))
-    moved = sum(r["n"] for r in flows if r["part"] < limit.get((r["shard"], r["best"]), PARTS))
+    free = np.array([max(0, room[s] - loads.get(s, 0)) for s in range(shards)])
+    flow = np.zeros((shards, shards))
+    for (a, b), n in total.items():
+        flow[a, b] = n
+    # Flows into a shard shrink until what leaves it, with its free room, makes place for them.
+    for _ in range(200):
+        into, out = flow.sum(axis=0), flow.sum(axis=1)
+        flow *= np.minimum(1, (out + free) / np.maximum(into, 1e-9))[None, :]
+    limit = _limit(flows, ("best",), {(b,): int(flow[:, b].sum() + 1e-6) for b in range(shards)})
+    goes = F.col("best").isNotNull() & (F.col("part") < F.coalesce(_lookup(limit, "best"), F.lit(PARTS)))
+    moved = sum(r["n"] for r in flows if r["part"] < limit.get((r["best"],), PARTS))
     return asked.withColumn("shard", F.when(goes, F.col("best")).otherwise(F.col("shard"))).drop("best", "part"), moved
 
 
@@ -106,14 +107,14 @@ def _even(state: DataFrame, shards: int, room: dict) -> DataFrame:
     return state.withColumn("shard", target.cast("int")).drop("rank", "place", "part")
 
 
-def sharded(docs: DataFrame, shards: int = 16, rounds: int = 6, seed: int = 0, link: Column | None = None) -> DataFrame:
+def sharded(docs: DataFrame, shards: int = 16, rounds: int = 10, seed: int = 0, link: Column | None = None) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Law ``rows``: the row counts of two shards differ by one at most. Documents are linked if ``link`` is equal (equal
     texts unless given; null links with nothing). They begin in a shard by a hash of doc_id; each round, those outside
-    the fullest shard of their group move there as far as two-way flows and free room allow. Groups are handled by their
-    counts per shard, never as pairs; a group larger than a shard fills it and stays spread over others. The last step
-    moves the exact surplus, singles first. The driver sees counts per shard and part only, a fixed number.
+    the fullest shard of their group move there as far as what leaves that shard and its free room allow. Groups are handled by their
+    counts per shard, never as pairs; a group larger than a shard fills it and stays spread over others. The linked
+    documents of a shard never exceed its size; the last step moves the exact surplus, unlinked documents first. The driver sees counts per shard and part only, a fixed number.
 
     ``size`` is the UTF-8 length plus 1 (null text: 1), ``text_crc32`` 0 for null. ``slot`` counts from 0 without gaps.
     ``grown_shard`` is null under this law. Repeated and null doc_ids are rows like others. Empty input: no rows.
@@ -127,9 +128,12 @@ def sharded(docs: DataFrame, shards: int = 16, rounds: int = 6, seed: int = 0, l
     state = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), key.alias("link"), first.alias("shard"))
     state = stage(state, "shard-start")
     n = state.count()
+    groups = state.where("link is not null").groupBy("link").agg(F.count("*").alias("n")).where("n > 1").select("link", F.lit(True).alias("linked"))
+    state = stage(state.join(stage(groups, "shard-links"), "link", "left"), "shard-linked")
     room = {s: n // shards + (s < n % shards) for s in range(shards)}
     for r in range(rounds):
-        loads = {x["shard"]: x["n"] for x in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+        # Only linked documents count here: the others give way in the last step.
+        loads = {x["shard"]: x["n"] for x in state.where("linked").groupBy("shard").agg(F.count("*").alias("n")).collect()}
         state, moved = _propagate(state, shards, room, loads, seed + 1 + r)
         state = stage(state, "shard-round")
         if not moved:
