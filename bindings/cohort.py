@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bindings.labels import STRICT
 from bindings.registry import query, sql
 from varloom.functions.columns import pathogenic, reorder_id_parts, report_key
-from varloom.operators.joins import join_on_variant
+from varloom.operators.joins import join_on_variant, members_in
 from varloom.plans import overlap as O
 from varloom.plans import pathogenic as P
 from varloom.plans.strata import strata_mac as strata
@@ -118,6 +118,45 @@ def compare_cohorts(t):
     return P.compare_cohorts(_ours(t), _theirs(t))
 
 
+# The samples both analyses loaded: every second family.
+LISTED = "sample_id IN (SELECT '101-' || family_id || '-' || member FROM calls WHERE family_id % 2 = 0)"
+
+
+def _listed(t):
+    loaded = t("calls").where("family_id % 2 = 0")
+    return loaded.select(F.concat_ws("-", F.lit("101"), F.col("family_id").cast("string"), "member").alias("sample_id")).distinct()
+
+
+@query(
+    "only_ours",
+    sql(
+        "cgi_calls clinvar gene_list calls",
+        f"""SELECT report_id, gene, sample_id, chr, start, alt_call FROM ours WHERE {LISTED}
+        AND report_id NOT IN (SELECT report_id FROM theirs WHERE report_id IS NOT NULL)""",
+        COHORTS,
+    ),
+)
+def only_ours(t):
+    calls = t("cgi_calls").select("sample_id", "chr", "start", "stop", "ref", "allele1seq", "allele2seq", "zygosity")
+    known = t("clinvar").select("chrom", "pos", "ref", "alt", "gene", "clin_sig")
+    ours = P.cohort_findings(calls, known, t("gene_list").select("gene", "inheritance"), _listed(t))
+    return P.only_in(ours, _theirs(t)).select("report_id", "gene", "sample_id", "chr", "start", "alt_call")
+
+
+@query(
+    "only_theirs",
+    sql(
+        "cgi_calls clinvar gene_list calls",
+        f"""SELECT report_id, gene, sample_id FROM theirs WHERE {LISTED} AND report_id NOT IN (SELECT report_id FROM ours
+        WHERE report_id IS NOT NULL)""",
+        COHORTS,
+    ),
+)
+def only_theirs(t):
+    theirs = members_in(_theirs(t), _listed(t), ["sample_id"])
+    return P.only_in(theirs, _ours(t)).select("report_id", "gene", "sample_id")
+
+
 @query(
     "strata_mac",
     sql(

@@ -260,12 +260,12 @@ def merge_genotypes(t):
     "difference",
     sql(
         "calls",
-        """SELECT chrom, pos, ref, alt FROM calls WHERE member = 'NB' EXCEPT ALL
-        SELECT chrom, pos, ref, alt FROM calls WHERE member = 'M'""",
+        """SELECT chrom, pos, ref, alt FROM calls WHERE member = 'NB' AND (chrom, pos, ref, alt) NOT IN
+        (SELECT (chrom, pos, ref, alt) FROM calls WHERE member = 'M' AND qual > 40)""",
     ),
 )
 def difference(t):
     calls = t("calls")
     return A.difference(
-        calls.where("member = 'NB'").select(*S.VARIANT_KEY), calls.where("member = 'M'").select(*S.VARIANT_KEY)
+        calls.where("member = 'NB'").select(*S.VARIANT_KEY), calls.where("member = 'M' AND qual > 40").select(*S.VARIANT_KEY)
     )

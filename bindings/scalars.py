@@ -22,7 +22,7 @@ def string_scalars(t):
     return t("calls").select(
         "var_id", "sample_id",
         F.concat_ws("-", "chrom", F.col("pos").cast("string")).alias("joined"), F.length(sample).alias("n_chars"),
-        F.substring(sample, 5, 1000).alias("tail"), F.substring(sample, -2, 2).alias("last_two"),
+        sample.substr(F.lit(5), F.length(sample)).alias("tail"), F.substring(sample, -2, 2).alias("last_two"),
         F.substring(sample, 1, 3).alias("head"), F.instr(sample, "-0").alias("dash_at"),
     )
 

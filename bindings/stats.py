@@ -14,9 +14,14 @@ from varloom.plans.ancestry import ancestry_results as results
 
 DOSE = """dose AS (SELECT subject_id, chrom, pos, ref, alt, max(CASE WHEN gt = '1/1' THEN 2 ELSE 1 END) AS dosage FROM {source}
     WHERE gt IS NOT NULL GROUP BY ALL)"""
-FREQ = """freq AS (SELECT *, alt_alleles / (2 * n_samples) AS alt_freq,
-    least(alt_alleles / (2 * n_samples), 1 - alt_alleles / (2 * n_samples)) AS maf FROM (SELECT chrom, pos, ref, alt,
-    CAST(sum(dosage) AS BIGINT) AS alt_alleles, count(*) AS n_samples FROM dose GROUP BY ALL))"""
+# No row: two reference alleles. A sample whose calls all lack a genotype is missing and leaves the denominator.
+ANY = """every AS (SELECT subject_id, chrom, pos, ref, alt, max(CASE WHEN gt = '1/1' THEN 2 WHEN gt IS NOT NULL THEN 1 END) AS dosage
+    FROM {source} GROUP BY ALL)"""
+RATES = "alt_alleles / (2 * n_samples) AS alt_freq, least(alt_alleles / (2 * n_samples), 1 - alt_alleles / (2 * n_samples)) AS maf"
+FREQ = """freq AS (SELECT *, {rates} FROM (SELECT {marker}, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS alt_alleles,
+    {cohort} - count(*) FILTER (dosage IS NULL) AS n_samples FROM every GROUP BY ALL))"""
+SITES = "chrom, pos, ref, alt"
+CUSTOMERS = "(SELECT count(*) FROM customer)"
 IDX = """idx AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY pos, ref, alt) - 1 AS idx
     FROM (SELECT DISTINCT chrom, pos, ref, alt FROM {dose}))"""
 PAIRS = """placed AS (SELECT d.subject_id, d.chrom, i.idx, d.dosage FROM {dose} d JOIN idx i
@@ -34,26 +39,58 @@ def _dosages(t):
     return A.sample_dosages(dosage(t("calls")))
 
 
+def _every(t, marker=S.VARIANT_KEY):
+    return A.sample_dosages(dosage(t("calls")), marker, missing=True)
+
+
+def _cohort(t):
+    return t("customer").select("c_custkey")
+
+
 @query(
     "allele_frequency",
     sql(
         "cgi_calls",
-        """SELECT *, alt_alleles / (2 * n_samples) AS alt_freq,
-        least(alt_alleles / (2 * n_samples), 1 - alt_alleles / (2 * n_samples)) AS maf
+        f"""SELECT *, {RATES}
         FROM (SELECT chr, start, ref, CAST(sum(CAST(allele1seq <> ref AS INT) + CAST(allele2seq <> ref AS INT)) AS BIGINT)
-          AS alt_alleles, count(*) AS n_samples FROM cgi_calls GROUP BY ALL)""",
+          AS alt_alleles, {CUSTOMERS} AS n_samples FROM cgi_calls GROUP BY ALL)""",
     ),
 )
 def allele_frequency(t):
-    return A.allele_frequency(allele_flags(t("cgi_calls")), ["chr", "start", "ref"])
+    return A.allele_frequency(allele_flags(t("cgi_calls")), _cohort(t), ["chr", "start", "ref"])
+
+
+@query(
+    "dosage_frequency",
+    sql("calls", "SELECT * FROM freq", ANY.format(source="calls") + "," + FREQ.format(rates=RATES, marker=SITES, cohort=CUSTOMERS)),
+)
+def dosage_frequency(t):
+    return A.dosage_frequency(_every(t), _cohort(t))
 
 
+# Whole chromosomes as markers: carriers are common enough for frequencies over one half, sites and strands for rare ones.
 @query(
     "filter_maf",
-    sql("calls", "SELECT * FROM freq WHERE maf BETWEEN 0.05 AND 0.49", DOSE.format(source="calls") + "," + FREQ),
+    sql(
+        "calls",
+        """SELECT 'site' AS level, chrom, alt_alleles, n_samples, alt_freq, maf FROM freq WHERE maf BETWEEN 0.05 AND 0.49
+        UNION ALL SELECT 'chrom', chrom, alt_alleles, n_samples, alt_freq, maf FROM wide WHERE maf BETWEEN 0.05 AND 0.49""",
+        ",".join(
+            [
+                ANY.format(source="calls"),
+                FREQ.format(rates=RATES, marker=SITES, cohort=CUSTOMERS),
+                ANY.format(source="calls").replace("every AS", "whole AS").replace("subject_id, chrom, pos, ref, alt,", "subject_id, chrom,"),
+                FREQ.format(rates=RATES, marker="chrom", cohort=CUSTOMERS).replace("freq AS", "wide AS").replace("FROM every", "FROM whole"),
+            ]
+        ),
+    ),
 )
 def filter_maf(t):
-    return A.filter_maf(A.dosage_frequency(_dosages(t)))
+    columns = ["chrom", "alt_alleles", "n_samples", "alt_freq", "maf"]
+    cohort = A.cohort_size(_cohort(t))
+    sites = A.filter_maf(A.dosage_frequency(_every(t), cohort)).select(F.lit("site").alias("level"), *columns)
+    whole = A.filter_maf(A.dosage_frequency(_every(t, ["chrom"]), cohort, ["chrom"])).select(F.lit("chrom").alias("level"), *columns)
+    return sites.unionByName(whole)
 
 
 @query(
@@ -90,15 +127,14 @@ def biallelic_only(t):
     "population_frequency",
     sql(
         "calls panel",
-        """SELECT *, alt_alleles / (2 * n_samples) AS alt_freq,
-        least(alt_alleles / (2 * n_samples), 1 - alt_alleles / (2 * n_samples)) AS maf FROM (SELECT chrom, pos, ref, alt, super_pop,
-        CAST(sum(dosage) AS BIGINT) AS alt_alleles, count(*) AS n_samples FROM dose d JOIN panel p ON d.subject_id = p.sample
-        GROUP BY ALL)""",
-        DOSE.format(source="calls"),
+        f"""SELECT *, {RATES} FROM (SELECT chrom, pos, ref, alt, super_pop, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS alt_alleles,
+        max(size) - count(*) FILTER (dosage IS NULL) AS n_samples FROM every d JOIN panel p ON d.subject_id = p.sample
+        JOIN (SELECT super_pop AS s, count(DISTINCT sample) AS size FROM panel GROUP BY ALL) ON s = super_pop GROUP BY ALL)""",
+        ANY.format(source="calls"),
     ),
 )
 def population_frequency(t):
-    return A.population_frequency(_dosages(t), t("panel"), "super_pop")
+    return A.population_frequency(_every(t), t("panel"), "super_pop")
 
 
 @query("marker_index", sql("calls", "SELECT * FROM idx", IDX.format(dose="calls")))
@@ -156,7 +192,8 @@ def thin_markers(t):
                 """known_calls AS (SELECT * FROM calls WHERE subject_id IN (SELECT sample FROM panel)),
                 new_calls AS (SELECT * FROM calls WHERE subject_id NOT IN (SELECT sample FROM panel))""",
                 DOSE.format(source="known_calls"),
-                FREQ,
+                ANY.format(source="known_calls"),
+                FREQ.format(rates=RATES, marker=SITES, cohort="(SELECT count(DISTINCT sample) FROM panel)"),
                 """common AS (SELECT d.* FROM dose d JOIN freq f ON d.chrom = f.chrom AND d.pos = f.pos AND d.ref = f.ref
                   AND d.alt = f.alt WHERE f.maf BETWEEN 0.05 AND 0.49)""",
                 IDX.format(dose="common"),

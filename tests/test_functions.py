@@ -25,6 +25,14 @@ def test_clin_patho(spark, sig, strict, loose):
     assert column(V.with_clin_patho(df, patterns=S.PATHOGENIC_LOOSE), "clin_patho") == [loose]
 
 
+def test_long_ids_keep_their_tail(spark):
+    from bindings.scalars import string_scalars
+
+    long = "101-" + "x" * 2000
+    df = spark.createDataFrame([("v", long, "1", 5)], "var_id string, sample_id string, chrom string, pos int")
+    assert string_scalars(lambda name: df).first()["tail"] == long[4:]
+
+
 def test_unlisted_frequency_is_rare(spark):
     df = spark.createDataFrame([(None,), (0.0299,), (0.03,)], "kav_freq double")
     assert column(V.with_kaviar_rare(df, 0.03), "kaviar_rare") == ["Y", "Y", "N"]

@@ -81,7 +81,7 @@ def test_interval_allele_join_meets_once(spark):
     known = spark.createDataFrame(
         [("1", 105, "A", "T"), ("1", 106, "A", "T"), ("1", 100, "C", "T")], "chrom string, pos int, ref string, alt string"
     )
-    out = rows(interval_allele_join(calls, known, width=10), "allele1seq", "pos", "alt")
+    out = rows(interval_allele_join(calls, known, widths=(10,)), "allele1seq", "pos", "alt")
     assert out == [("A", 105, "T"), ("T", 105, "T")]
 
 
@@ -203,3 +203,27 @@ def test_map_population_and_subject_order(spark):
     assert rows(A.append_subject(listed, "9")) == [(1, 1), (2, 2), (9, 9)]
     order = spark.createDataFrame([(3, 0), (1, 1)], "sample int, rank int")
     assert [r.sample for r in A.sort_by_reference(samples, order).collect()] == [3, 1]
+
+
+def test_interval_alleles_by_length_tier(spark):
+    """Calls of one base to many megabases equal the plain join; short calls meet few candidates on dense input."""
+    rng = random.Random(5)
+    known = [("1", rng.randint(1, 60_000_000), rng.choice("AC"), rng.choice("GT"), i) for i in range(400)]
+    known += [("1", 5_000 + i // 2, "A", "GT"[i % 2], 1000 + i) for i in range(2000)]
+    calls = []
+    for i, length in enumerate([0, 1, 2, 999, 1000, 99_999, 100_000, 9_999_999, 10_000_000, 25_000_000] * 8):
+        start = rng.choice([5_000 + rng.randint(0, 900), rng.randint(1, 40_000_000)])
+        calls.append((i, "1", start, start + length, rng.choice("AC"), rng.choice("ACGT"), rng.choice("GT")))
+    calls += [(900, "1", 10, 5, "A", "G", "G"), (901, "1", 5_001, 5_001, "A", "G", "G")]
+    k = spark.createDataFrame(known, "chrom string, pos int, ref string, alt string, k int")
+    c = spark.createDataFrame(calls, "c int, chr string, start int, stop int, ref string, allele1seq string, allele2seq string")
+    want = sorted(
+        (x[0], v[4]) for x in calls for v in known if v[2] == x[4] and x[2] <= v[1] <= x[3] and v[3] in (x[5], x[6])
+    )
+    assert rows(interval_allele_join(c, k), "c", "k") == want
+    # One site in every thousand bases: bins of a call's own width hold little but its matches.
+    sites = spark.createDataFrame([("1", 1000 * i + 7, "A", a, i) for i in range(100) for a in "GT"], k.schema)
+    dense = spark.createDataFrame([(i, "1", 1000 * i + 6, 1000 * i + 8, "A", "G", "T") for i in range(100)], c.schema)
+    found = interval_allele_join(dense, sites).count()
+    short, wide = [dense.join(sites, F.expr(f"floor(start / {w}) = floor(pos / {w})")).count() for w in (1_000, 100_000)]
+    assert found == 200 and short < 1.5 * found < wide

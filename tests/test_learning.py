@@ -46,7 +46,9 @@ def test_models_learn(points):
     # Either class is linearly separable; a small forest that draws one feature per node need not find it every time.
     assert out["svm"][1] == out["logistic"][1] == 0 and out["forest"][1] < 0.1
     assert out["linear"][1] < 0.05 and out["naive_bayes"][1] < 0.5
-    assert {r.model: (r.metric, r.value) for r in L.compare_models(points).collect()} == out
+    # Partial float sums merge in task order, so the last digits of an error may differ between runs.
+    again = {r.model: (r.metric, pytest.approx(r.value, rel=1e-6)) for r in L.compare_models(points).collect()}
+    assert out == again
 
 
 def test_measures(spark):

@@ -69,6 +69,8 @@ def test_partitioned_insert_can_run_twice(spark, tmp_path, variants):
     plan = IO.read_variants(spark, path, S.DISTINCT_VARIANTS).where("chrom = '1' AND blk_pos = 2")
     assert "PartitionFilters: [isnotnull(chrom" in plan._jdf.queryExecution().executedPlan().toString()
     assert plan.count() == 1
+    IO.insert_partitioned(variants.where("chrom = '1'"), path, mode="append")
+    assert IO.read_variants(spark, path).count() == 5
 
 
 def test_binary_text_reads_as_string(spark, tmp_path):

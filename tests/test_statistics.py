@@ -122,9 +122,19 @@ def test_frequencies(spark):
     calls = spark.createDataFrame(
         [("s1", "0/1"), ("s2", "1/1"), ("s3", "0/0"), ("s4", None), ("s1", "1/1")], "subject_id string, gt string"
     ).select("*", F.lit("1").alias("chrom"), F.lit(5).alias("pos"), F.lit("A").alias("ref"), F.lit("C").alias("alt"))
-    one = A.dosage_frequency(A.sample_dosages(dosage(calls))).collect()[0]
+    every = A.sample_dosages(dosage(calls), missing=True)
+    one = A.dosage_frequency(every, 4).collect()[0]
     assert (one.alt_alleles, one.n_samples, one.alt_freq) == (4, 3, 4 / 6)
     assert one.maf == pytest.approx(1 / 3)
+    # One heterozygous and one homozygous carrier more among ten thousand: rare, and filtered out.
+    rare = A.dosage_frequency(every, 10_000).collect()[0]
+    assert (rare.n_samples, rare.alt_freq) == (9_999, 4 / 19_998)
+    assert A.filter_maf(A.dosage_frequency(every, 10_000)).count() == 0
+    samples = spark.createDataFrame([(f"s{i}",) for i in (1, 2, 3, 4, 4)], "sample string")
+    assert A.dosage_frequency(every, samples).collect() == [one]
+    panel = samples.distinct().select("sample", F.when(F.col("sample") < "s3", "a").otherwise("b").alias("pop"))
+    by = {r["pop"]: (r.alt_alleles, r.n_samples) for r in A.population_frequency(every, panel).collect()}
+    assert by == {"a": (4, 2), "b": (0, 1)}
     assert A.missing_rate(calls).collect()[0].missing_rate == pytest.approx(0.2)
     assert A.filter_missing(calls, 0.1).count() == 0 and A.filter_missing(calls, 0.2).count() == 1
 

@@ -153,7 +153,7 @@ SELECT concat(CASE WHEN site_id % 3 = 0 THEN 'N:METH:' ELSE 'N:GEXP:' END, CAST(
 
 VIEWS["ml_matrix"] = """
 SELECT CASE WHEN l_discount > 0.05 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label, l_quantity AS f1,
-  l_extendedprice AS f2, l_tax AS f3, l_discount AS f4 FROM lineitem"""
+  l_extendedprice AS f2, l_tax AS f3, l_discount AS f4, l_orderkey, l_linenumber FROM lineitem"""
 
 
 @cache

@@ -135,5 +135,8 @@ def merge_genotypes(reference: DataFrame, subject: DataFrame, site: Sequence[str
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of the left table that are not in the right one; copies count one by one."""
-    return left.exceptAll(right.select(*left.columns))
+    """Rows of the left table whose values are nowhere in the right one; copies stay or go together, nulls are equal."""
+    names = left.columns
+    other = right.select(*[F.col(c).alias(f"__r{i}") for i, c in enumerate(names)])
+    same = [left[c].eqNullSafe(other[f"__r{i}"]) for i, c in enumerate(names)]
+    return left.join(other, same, "left_anti")

@@ -80,11 +80,52 @@ def pipe_partitions(df: DataFrame, command: str, schema: T.StructType, sep: str
     """Rows as tab text through one external process per partition, and its output lines back as typed rows.
 
     Lines that start with ``#`` are skipped, and an empty or dotted cell of a non-text column is null. A failing process
-    fails its task, which Spark retries. Only the text crosses to Python; lines are built and parsed by Spark functions.
+    fails its task, which Spark retries. Lines cross to Python in Arrow batches, are written to the process by a thread of
+    its own while output is read, and are built and parsed by Spark functions.
     """
-    text = df.select(tab_line(df.columns)).rdd.map(lambda row: row[0])
-    piped = text.pipe(command, checkCode=True).filter(lambda line: line and not line.startswith("#"))
-    lines = df.sparkSession.createDataFrame(piped.map(lambda line: (line,)), "line string", verifySchema=False)
+
+    def run(batches):
+        import shlex
+        import subprocess
+        import threading
+
+        import pyarrow as pa
+
+        process = subprocess.Popen(shlex.split(command), stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+        failed = []
+
+        def feed():
+            try:
+                for batch in batches:
+                    text = "".join(f"{line}\n" for line in batch.column(0).to_pylist())
+                    process.stdin.write(text.encode())
+                process.stdin.close()
+            except BrokenPipeError:
+                pass  # the exit code tells
+            except Exception as error:
+                failed.append(error)
+                process.kill()
+
+        writer = threading.Thread(target=feed, daemon=True)
+        writer.start()
+        held: list[str] = []
+        for line in process.stdout:
+            text = line.decode().rstrip("\n")
+            if text and not text.startswith("#"):
+                held.append(text)
+            if len(held) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["line"])
+                held = []
+        writer.join()
+        code = process.wait()
+        if failed:
+            raise failed[0]
+        if code:
+            raise RuntimeError(f"the process returned non-zero exit status {code}")
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["line"])
+
+    lines = df.select(tab_line(df.columns).alias("line")).mapInArrow(run, "line string")
     cells = F.split("line", sep)
 
     def cell(i: int, kind: T.DataType) -> Column:

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from varloom.session import stage
 
 
-def assemble(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
-    """(label, features vector) from numeric columns."""
+def assemble(df: DataFrame, features: Sequence[str], label: str = "label", keep: Sequence[str] = ()) -> DataFrame:
+    """(label, features vector) from numeric columns, and the columns to ``keep``, such as a row key."""
     vector = VectorAssembler(inputCols=list(features), outputCol="features")
-    return vector.transform(df).select(F.col(label).cast("double").alias("label"), "features")
+    return vector.transform(df).select(F.col(label).cast("double").alias("label"), "features", *keep)
 
 
 def labelled_points(lines: DataFrame) -> DataFrame:
@@ -44,21 +44,29 @@ def features_to_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select("label", *[F.get(values, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def split_data(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7) -> list[DataFrame]:
-    """Random train and test parts. The seed and an unchanged input make the split repeatable."""
-    return df.randomSplit(list(weights), seed)
+def split_data(
+    df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7, key: Sequence[str] | None = None
+) -> list[DataFrame]:
+    """Random train and test parts by a hash of the row key and the seed.
 
+    A row's part depends on nothing else, so another file layout or cluster gives the same split. Without a ``key`` the
+    label and the features are hashed; equal rows then share a part.
+    """
+    if key is None:
+        values = F.transform(vector_to_array("features"), lambda x: x.cast("string"))
+        parts = [F.col("label").cast("string"), F.array_join(values, ",")]
+    else:
+        parts = [F.col(c).cast("string") for c in key]
+    draw = F.substring(F.md5(F.concat_ws("-", *parts, F.lit(str(seed))).cast("binary")), 1, 8)
+    edges = [f"{round(sum(weights[:i]) / sum(weights) * (1 << 32)):08x}" for i in range(len(weights))] + ["g"]
+    return [df.where((draw >= lo) & (draw < hi)) for lo, hi in zip(edges, edges[1:])]
 
-def stage_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7) -> list[DataFrame]:
-    """Random parts for trainers that read their data many times.
 
-    The draw is stored with the rows, so a part is the same on every reading and after a lost executor, and the input is
-    computed once.
-    """
-    drawn = stage(df.withColumn("__draw", F.rand(seed)), "split")
-    edges = [sum(weights[:i]) / sum(weights) for i in range(len(weights))] + [1.0]
-    draw = F.col("__draw")
-    return [drawn.where((draw >= lo) & (draw < hi)).drop("__draw") for lo, hi in zip(edges, edges[1:])]
+def stage_split(
+    df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7, key: Sequence[str] | None = None
+) -> list[DataFrame]:
+    """Parts for trainers that read their data many times: the rows are stored first, so the input is computed once."""
+    return split_data(stage(df, "split"), weights, seed, key)
 
 
 def train_svm(train: DataFrame, iterations: int = 100) -> Model:
@@ -112,8 +120,12 @@ def evaluate(name: str, train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def compare_models(
-    df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 7, models: Sequence[str] = tuple(MODELS)
+    df: DataFrame,
+    weights: Sequence[float] = (0.8, 0.2),
+    seed: int = 7,
+    models: Sequence[str] = tuple(MODELS),
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per model on scaled features."""
-    train, test = stage_split(scale_features(df), weights, seed)
+    train, test = stage_split(scale_features(df), weights, seed, key)
     return reduce(DataFrame.unionByName, [evaluate(name, train, test) for name in models])

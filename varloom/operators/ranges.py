@@ -16,11 +16,11 @@ from varloom.operators.hints import MAX_BROADCAST_ROWS, with_strategy
 _BIN, _BUILD_BIN, _LO, _HI, _CHROM = "__bin", "__build_bin", "__lo", "__hi", "__chrom"
 
 
-def _bin(position: Column, width: int) -> Column:
+def _bin(position: Column, width: int | Column) -> Column:
     return F.floor(position / width)
 
 
-def _binned(df: DataFrame, lo: Column, hi: Column, width: int, name: str) -> DataFrame:
+def _binned(df: DataFrame, lo: Column, hi: Column, width: int | Column, name: str) -> DataFrame:
     """One row per bin of [lo, hi]; intervals that hold no position are left out."""
     bins = F.sequence(_bin(F.col(_LO), width), _bin(F.col(_HI), width))
     return df.withColumns({_LO: lo, _HI: hi}).where(F.col(_LO) <= F.col(_HI)).withColumn(name, F.explode(bins))
@@ -82,27 +82,41 @@ def range_join_inner(points: DataFrame, intervals: DataFrame, **options) -> Data
     return range_join(points, intervals, "inner", **options)
 
 
+# Bin widths by the length of a call: a call lies in one or two bins of its own width.
+ALLELE_BINS = (1_000, 100_000, 10_000_000)
+
+
 def interval_allele_join(
     calls: DataFrame,
     known: DataFrame,
     *,
-    width: int = S.RANGE_BIN_WIDTH,
+    widths: tuple[int, ...] = ALLELE_BINS,
     strategy: str | None = None,
 ) -> DataFrame:
     """Two-allele interval calls with the known variants they carry.
 
     Same chromosome and reference allele, known position inside [start, stop], and the known alt equal to either
-    allele. The alternatives stay in one residual, so a call with both alleles equal meets a variant once. The calls
-    are the binned side: nearly all lie in one bin, and the known variants keep one row each.
+    allele. The alternatives stay in one residual, so a call with both alleles equal meets a variant once.
+
+    A call is binned by the width of its length tier, so a call of a few bases meets only its neighbourhood and one of
+    megabases few bins. A known variant is listed once per tier; tier, bin, chromosome and reference allele make the key.
     """
     kept = calls.columns
     extra = [c for c in known.columns if c not in kept]
-    probe = _binned(calls, F.col("start"), F.col("stop"), width, _BIN)
-    build = known.withColumn(_BUILD_BIN, _bin(F.col("pos"), width)).withColumnRenamed("ref", "__ref")
-    build = with_strategy(build.select(_BUILD_BIN, "__ref", *extra), strategy)
+    length = F.col("stop") - F.col("start")
+    tier, width = F.lit(len(widths) - 1), F.lit(widths[-1])
+    for i in range(len(widths) - 2, -1, -1):
+        tier = F.when(length < widths[i], F.lit(i)).otherwise(tier)
+        width = F.when(length < widths[i], F.lit(widths[i])).otherwise(width)
+    probe = _binned(calls.withColumn("__tier", tier), F.col("start"), F.col("stop"), width, _BIN)
+    tiers = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), _bin(F.col("pos"), w).alias("b")) for i, w in enumerate(widths)]))
+    build = known.withColumn("__at", tiers).withColumnRenamed("ref", "__ref")
+    build = build.select(F.col("__at.t").alias("__known_tier"), F.col("__at.b").alias(_BUILD_BIN), "__ref", *extra)
+    build = with_strategy(build, strategy)
     match = (
         (F.col("chr") == F.col("chrom"))
         & (F.col("ref") == F.col("__ref"))
+        & (F.col("__tier") == F.col("__known_tier"))
         & (F.col(_BIN) == F.col(_BUILD_BIN))
         & F.col("pos").between(F.col("start"), F.col("stop"))
         & ((F.col("alt") == F.col("allele1seq")) | (F.col("alt") == F.col("allele2seq")))

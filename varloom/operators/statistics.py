@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom import schema as S
@@ -15,40 +15,51 @@ from varloom.session import stage
 SITE = ["chrom", "pos", "ref"]
 
 
-def allele_frequency(flags: DataFrame, site: Sequence[str] = SITE) -> DataFrame:
-    """Alternate-allele frequency of two-allele calls per site.
+def cohort_size(cohort: DataFrame | int) -> int:
+    """Samples of a cohort: a number, or a table whose first column names them (repeats count once)."""
+    return cohort if isinstance(cohort, int) else cohort.select(cohort.columns[0]).na.drop().distinct().count()
 
-    ``flags`` has one row per called sample with ``allele1_alt_count`` and ``allele2_alt_count``; the frequency is
-    alternate alleles / (2 x samples) and ``maf`` the smaller of it and its complement.
+
+def allele_frequency(flags: DataFrame, cohort: DataFrame | int, site: Sequence[str] = SITE) -> DataFrame:
+    """Alternate-allele frequency of two-allele calls per site, over the whole cohort.
+
+    ``flags`` has one row per stored call with ``allele1_alt_count`` and ``allele2_alt_count``. Call tables hold variants,
+    so a sample of the cohort without a row has two reference alleles; one whose counts are null is missing and leaves
+    the denominator. The frequency is alternate alleles / (2 x ``n_samples``), ``maf`` the smaller of it and its
+    complement. Rows of one sample at a site count one by one.
     """
     alts = F.col("allele1_alt_count") + F.col("allele2_alt_count")
-    counted = flags.groupBy(*site).agg(
-        F.sum(alts).cast("long").alias("alt_alleles"), F.count(F.lit(1)).alias("n_samples")
+    return _counted(flags.withColumn("__alts", alts).groupBy(*site), "__alts", F.lit(cohort_size(cohort)))
+
+
+def _counted(groups, alts: str, cohort: Column) -> DataFrame:
+    missing = F.count_if(F.col(alts).isNull())
+    counted = groups.agg(
+        F.coalesce(F.sum(alts), F.lit(0)).cast("long").alias("alt_alleles"), (cohort - missing).cast("long").alias("n_samples")
     )
     return _with_frequency(counted)
 
 
 def _with_frequency(counted: DataFrame) -> DataFrame:
-    frequency = F.col("alt_alleles") / (2 * F.col("n_samples"))
+    frequency = F.try_divide(F.col("alt_alleles"), 2 * F.col("n_samples"))
     return counted.withColumn("alt_freq", frequency).withColumn("maf", F.least("alt_freq", 1 - F.col("alt_freq")))
 
 
-def sample_dosages(calls: DataFrame, marker: Sequence[str] = S.VARIANT_KEY, sample: str = "subject_id") -> DataFrame:
-    """One called dosage per sample and marker; repeated calls keep the larger.
+def sample_dosages(
+    calls: DataFrame, marker: Sequence[str] = S.VARIANT_KEY, sample: str = "subject_id", missing: bool = False
+) -> DataFrame:
+    """One dosage per sample and marker; repeated calls keep the larger.
 
+    With ``missing`` a sample whose calls all lack a genotype keeps a row with a null dosage, which frequencies need.
     It shuffles all calls. Calls known to be unique need only their ``dosage`` column and can skip it.
     """
-    return (
-        calls.where(F.col("dosage").isNotNull()).groupBy(sample, *marker).agg(F.max("dosage").alias("dosage"))
-    )
+    known = calls if missing else calls.where(F.col("dosage").isNotNull())
+    return known.groupBy(sample, *marker).agg(F.max("dosage").alias("dosage"))
 
 
-def dosage_frequency(dosages: DataFrame, marker: Sequence[str] = S.VARIANT_KEY) -> DataFrame:
-    """Allele frequency per marker from sample dosages."""
-    counted = dosages.groupBy(*marker).agg(
-        F.sum("dosage").cast("long").alias("alt_alleles"), F.count(F.lit(1)).alias("n_samples")
-    )
-    return _with_frequency(counted)
+def dosage_frequency(dosages: DataFrame, cohort: DataFrame | int, marker: Sequence[str] = S.VARIANT_KEY) -> DataFrame:
+    """Allele frequency per marker over the cohort: no row is two reference alleles, a null dosage is missing."""
+    return _counted(dosages.groupBy(*marker), "dosage", F.lit(cohort_size(cohort)))
 
 
 def filter_maf(frequencies: DataFrame, low: float = 0.05, high: float = 0.49) -> DataFrame:
@@ -57,7 +68,7 @@ def filter_maf(frequencies: DataFrame, low: float = 0.05, high: float = 0.49) ->
 
 
 def missing_rate(calls: DataFrame, site: Sequence[str] = S.VARIANT_KEY) -> DataFrame:
-    """Share of calls without a genotype per site."""
+    """Share of the stored calls without a genotype per site; samples without a row are not part of it."""
     return calls.groupBy(*site).agg(F.avg(F.col("gt").isNull().cast("int")).alias("missing_rate"))
 
 
@@ -85,9 +96,14 @@ def biallelic_only(
 def population_frequency(
     dosages: DataFrame, panel: DataFrame, level: str = "pop", marker: Sequence[str] = S.VARIANT_KEY
 ) -> DataFrame:
-    """Allele frequency per marker and population of the panel's samples."""
-    known = panel.select(F.col("sample").alias("subject_id"), level)
-    return dosage_frequency(dosages.join(known, "subject_id"), [*marker, level])
+    """Allele frequency per marker and population, over all of the population's panel samples.
+
+    A marker no sample of a population has a row for is not listed for it.
+    """
+    known = panel.select(F.col("sample").alias("subject_id"), level).distinct()
+    sizes = known.groupBy(level).agg(F.count(F.lit(1)).alias("__size"))
+    sized = known.join(sizes, level)
+    return _counted(dosages.join(sized, "subject_id").groupBy(*marker, level), "dosage", F.max("__size"))
 
 
 def marker_index(df: DataFrame, key: Sequence[str] = S.VARIANT_KEY, width: int = S.BLOCK_WIDTH) -> DataFrame:
@@ -124,8 +140,8 @@ def ld_pairs(
 
     Marker i meets marker j > i when j < floor(i / step) * step + window, with 0-based order in the chromosome. Each call
     meets only the same sample's calls in its own and the next run of ``window`` markers, which bounds a join group by
-    2 x window rows whatever the number of samples. Samples without a call at either marker do not count. ``index`` is
-    the marker order when it is already known.
+    2 x window rows whatever the number of samples. Only samples with a called row at both markers count: a sample without a
+    row is left out here, not taken for two reference alleles. ``index`` is the marker order when it is already known.
     """
     index = marker_index(dosages, marker) if index is None else index
     indexed = dosages.join(index, list(marker)).select(sample, "chrom", "idx", "dosage")

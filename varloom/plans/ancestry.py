@@ -16,11 +16,12 @@ from varloom.session import stage
 
 
 def reference_markers(
-    dosages: DataFrame, low: float = 0.05, high: float = 0.49, window: int = 50, step: int = 5, cutoff: float = 0.5
+    dosages: DataFrame, cohort: DataFrame | int, low: float = 0.05, high: float = 0.49, window: int = 50, step: int = 5, cutoff: float = 0.5
 ) -> DataFrame:
-    """Reference markers by minor-allele frequency, then pruned for linkage."""
-    common = A.filter_maf(A.dosage_frequency(dosages), low, high)
-    return A.ld_prune(members_in(dosages, common, S.VARIANT_KEY), window, step, cutoff)
+    """Reference markers by minor-allele frequency over the cohort, then pruned for linkage among called dosages."""
+    common = A.filter_maf(A.dosage_frequency(dosages, cohort), low, high)
+    called = dosages.where(F.col("dosage").isNotNull())
+    return A.ld_prune(members_in(called, common, S.VARIANT_KEY), window, step, cutoff)
 
 
 def subject_genotypes(calls: DataFrame, markers: DataFrame, max_missing: float = 0.999) -> DataFrame:
@@ -41,9 +42,9 @@ def ancestry_inputs(
     Panel order is super population, population, sample, with samples outside the panel last; ties are broken by
     position, so that the range sort can split a sample with very many rows.
     """
-    dosages = stage(A.sample_dosages(dosage(reference_calls)), "reference")
-    markers = stage(reference_markers(dosages, **marker_options), "markers")
-    reference = members_in(dosages, markers, S.VARIANT_KEY)
+    dosages = stage(A.sample_dosages(dosage(reference_calls), missing=True), "reference")
+    markers = stage(reference_markers(dosages, panel.select("sample"), **marker_options), "markers")
+    reference = members_in(dosages.where(F.col("dosage").isNotNull()), markers, S.VARIANT_KEY)
     subjects = stage(A.sample_dosages(subject_genotypes(subject_calls, markers)), "subjects")
     merged = merge_genotypes(reference, subjects).withColumnRenamed("subject_id", "sample")
     known = map_population(merged, panel, level)

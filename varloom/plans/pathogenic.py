@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from varloom import schema as S
 from varloom.functions.columns import pathogenic, report_key, with_alt_call
 from varloom.functions.predicates import build_predicate, filter_find_in_set
-from varloom.operators.joins import join_gene_list, join_on_variant, members_in
+from varloom.operators.joins import join_gene_list, join_on_variant, members_in, members_not_in
 from varloom.operators.ranges import interval_allele_join
 
 
@@ -76,3 +76,8 @@ def compare_cohorts(ours: DataFrame, theirs: DataFrame) -> DataFrame:
             F.count_distinct("sample_id").alias("n_samples"),
         )
     )
+
+
+def only_in(findings: DataFrame, other: DataFrame, key: tuple[str, ...] = ("report_id",)) -> DataFrame:
+    """Findings whose key the other side does not have, with all their columns."""
+    return members_not_in(findings, other, list(key))

@@ -23,10 +23,10 @@ def read_variants(spark: SparkSession, path: str, schema: T.StructType | None =
 
     Without a schema the chromosome folder names alone would make an integer column of chromosomes 1-22.
     """
-    spark.conf.set("spark.sql.parquet.binaryAsString", "true")
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
-    return df.withColumn("chrom", F.col("chrom").cast("string")) if "chrom" in df.columns else df
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.BinaryType)} | ({"chrom"} & set(df.columns))
+    return df.withColumns({c: F.col(c).cast("string") for c in df.columns if c in text})
 
 
 def read_tsv(

@@ -45,9 +45,14 @@ def _balanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def insert_partitioned(df: DataFrame, path: str, keys: Sequence[str] = S.PARTITION_COLUMNS) -> None:
-    """Writes into (chrom, blk_pos) folders, replacing only the partitions present, so a rerun is safe."""
-    writer = _balanced(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def insert_partitioned(
+    df: DataFrame, path: str, keys: Sequence[str] = S.PARTITION_COLUMNS, mode: str = "overwrite"
+) -> None:
+    """Writes into (chrom, blk_pos) folders.
+
+    By default only the partitions present are replaced, so a rerun is safe; ``mode="append"`` adds rows to them.
+    """
+    writer = _balanced(df, keys).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.option("compression", "snappy").partitionBy(*keys).parquet(path)
 
 
