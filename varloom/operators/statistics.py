@@ -13,6 +13,8 @@ from varloom import schema as S
 from varloom.session import stage
 
 SITE = ["chrom", "pos", "ref"]
+SAMPLE_BLOCK = 63  # samples whose calls at a marker share one row
+SAMPLE_BUCKETS = 1024
 
 
 def cohort_size(cohort: DataFrame | int) -> int:
@@ -138,33 +140,51 @@ def ld_pairs(
 ) -> DataFrame:
     """Squared dosage correlation of the marker pairs that share a sliding window.
 
-    Marker i meets marker j > i when j < floor(i / step) * step + window, with 0-based order in the chromosome. Each call
-    meets only the same sample's calls in its own and the next run of ``window`` markers, which bounds a join group by
-    2 x window rows whatever the number of samples. Only samples with a called row at both markers count: a sample without a
-    row is left out here, not taken for two reference alleles. ``index`` is the marker order when it is already known.
+    Marker i meets marker j > i when j < floor(i / step) * step + window, with 0-based order in the chromosome. Only samples
+    with a called row at both markers count: a sample without a row is left out here, not taken for two reference
+    alleles. Dosages are 0, 1 or 2, one row per sample and marker. ``index`` is the marker order when it is already known.
+
+    Samples are dealt into blocks of 63, and a marker has one row per block: three bit sets, who is called, who has one
+    alternate allele, who has two. Neighbouring runs of ``window`` markers meet per block, and the sums of a pair in a
+    block are bit counts, so rows per sample and pair never arise; a join group has at most 2 x window rows.
     """
     index = marker_index(dosages, marker) if index is None else index
-    indexed = dosages.join(index, list(marker)).select(sample, "chrom", "idx", "dosage")
-    run = F.floor(F.col("idx") / window)
-    first = indexed.select(
-        sample, "chrom", run.alias("run"), F.col("idx").alias("idx_i"), F.col("dosage").cast("double").alias("x")
-    )
-    second = indexed.select(
+    called = dosages.where(F.col("dosage").between(0, 2))
+    bucket = F.pmod(F.xxhash64(sample), F.lit(SAMPLE_BUCKETS))
+    number = F.row_number().over(Window.partitionBy("__bucket").orderBy(sample)) - 1
+    samples = called.select(sample).distinct().withColumn("__bucket", bucket).withColumn("__no", number)
+    samples = samples.select(
         sample,
-        "chrom",
-        F.explode(F.array(run, run - 1)).alias("run"),
-        F.col("idx").alias("idx_j"),
-        F.col("dosage").cast("double").alias("y"),
+        (F.col("__bucket") + SAMPLE_BUCKETS * F.floor(F.col("__no") / SAMPLE_BLOCK)).alias("block"),
+        F.expr(f"shiftleft(1L, cast(pmod(__no, {SAMPLE_BLOCK}) as int))").alias("bit"),
     )
-    end = F.floor(F.col("idx_i") / step) * step + window
-    pairs = first.join(second, [sample, "chrom", "run"]).where(
-        (F.col("idx_j") > F.col("idx_i")) & (F.col("idx_j") < end)
+    placed = called.join(index, list(marker)).join(samples, sample)
+    bits = lambda k: F.coalesce(F.bit_or(F.when(F.col("dosage") == k, F.col("bit"))), F.lit(0).cast("long"))
+    blocks = placed.groupBy("chrom", "idx", "block").agg(F.bit_or("bit").alias("p"), bits(1).alias("one"), bits(2).alias("two"))
+    run = F.floor(F.col("idx") / window)
+    sets = ("p", "one", "two")
+    first = blocks.select("chrom", "block", run.alias("run"), F.col("idx").alias("idx_i"), *[F.col(c).alias(f"x_{c}") for c in sets])
+    second = blocks.select(
+        "chrom", "block", F.explode(F.array(run, run - 1)).alias("run"), F.col("idx").alias("idx_j"), *[F.col(c).alias(f"y_{c}") for c in sets]
     )
-    x, y = F.col("x"), F.col("y")
+    end = F.floor(F.col("idx_i") / step) * step + window
+    pairs = first.join(second, ["chrom", "block", "run"]).where((F.col("idx_j") > F.col("idx_i")) & (F.col("idx_j") < end))
+
+    def both(a: str, b: str) -> Column:
+        return F.bit_count(F.col(f"x_{a}").bitwiseAND(F.col(f"y_{b}")))
+
+    values = {
+        "n": both("p", "p"),
+        "sx": both("one", "p") + 2 * both("two", "p"),
+        "sy": both("p", "one") + 2 * both("p", "two"),
+        "sxx": both("one", "p") + 4 * both("two", "p"),
+        "syy": both("p", "one") + 4 * both("p", "two"),
+        "sxy": both("one", "one") + 2 * (both("one", "two") + both("two", "one")) + 4 * both("two", "two"),
+    }
     sums = pairs.groupBy("chrom", "idx_i", "idx_j").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(e).alias(a) for a, e in {"sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}.items()],
+        F.sum(values["n"]).alias("n"), *[F.sum(e).cast("double").alias(c) for c, e in values.items() if c != "n"]
     )
+    sums = sums.where("n > 0")
     # Dosages are small integers, so these sums are exact in any order and so is the test for zero variance.
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     cov, vx, vy = n * F.col("sxy") - sx * sy, n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
