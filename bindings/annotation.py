@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,8 @@ from varloom.operators import effects as E
 from varloom.operators.aggregates import distinct_variants
 from varloom.operators.joins import merge_effects as merge
 from varloom.plans.global_variants import global_variants as build
+from varloom.plans.global_variants import write_global_variants
+from varloom.session import staging_root
 
 CALL_ROWS = """SELECT chrom AS CHROM, pos AS POS, var_id AS ID, ref AS REF, alt AS ALT, qual AS QUAL, filter AS FILTER,
   '.' AS INFO, 'GT' AS FORMAT, coalesce(gt, '.') AS GT FROM calls"""
@@ -97,7 +101,7 @@ def _global(source: str, call_rows: str) -> str:
     )
 
 
-def _build(t, calls):
+def _build(t, calls, build=build):
     tables = {n: t(n) for n in ("dbsnp", "kaviar", "clinvar", "hgmd", "dbnsfp", "coding", "genes")}
     others = [tables[n] for n in ("dbnsfp", "kaviar", "clinvar", "dbsnp", "hgmd")]
     return build([calls, *others], **tables)
@@ -108,6 +112,12 @@ def global_variants(t):
     return _build(t, t("calls"))
 
 
+@query("global_variants_written", _global("calls", "SELECT chrom, blk_pos, pos, ref, alt FROM calls"))
+def global_variants_written(t):
+    path = f"{staging_root(t.spark)}/global-{uuid.uuid4().hex}"
+    return _build(t, t("calls"), lambda sources, **tables: write_global_variants(sources, path, floor=100, **tables))
+
+
 @query(
     "global_variants_cgi",
     _global(

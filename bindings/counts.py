@@ -51,14 +51,16 @@ def count_by_chrom(t):
     "groups_below",
     sql(
         "calls",
-        """SELECT chrom, member, count(*) AS n, 'below' AS side FROM calls GROUP BY ALL HAVING count(*) < 800
-        UNION ALL SELECT chrom, member, count(*), 'above' FROM calls GROUP BY ALL HAVING count(*) > 900""",
+        """SELECT chrom, member, count(*) AS n, 'below' AS side FROM calls GROUP BY ALL HAVING count(*) < (SELECT avg(n) FROM sizes)
+        UNION ALL SELECT chrom, member, count(*), 'above' FROM calls GROUP BY ALL HAVING count(*) > (SELECT avg(n) FROM sizes)""",
+        "sizes AS (SELECT count(*) AS n FROM calls GROUP BY chrom, member)",
     ),
 )
 def groups_below(t):
     calls, keys = t("calls"), ["chrom", "member"]
-    below = A.groups_below(calls, keys, 800).withColumn("side", F.lit("below"))
-    return below.unionByName(A.groups_above(calls, keys, 900).withColumn("side", F.lit("above")))
+    mean = calls.groupBy(*keys).count().agg(F.avg("count")).first()[0]
+    below = A.groups_below(calls, keys, mean).withColumn("side", F.lit("below"))
+    return below.unionByName(A.groups_above(calls, keys, mean).withColumn("side", F.lit("above")))
 
 
 @query("distinct_variants", sql("calls", "SELECT DISTINCT chrom, pos, ref, alt FROM calls"))
@@ -126,11 +128,11 @@ def check_chrom_set(t):
     sql(
         "calls",
         """SELECT chrom, count(*) AS n FROM calls GROUP BY chrom
-        HAVING count(*) < CASE chrom WHEN 'M' THEN 100 WHEN 'X' THEN 1000000 ELSE 2400 END""",
+        HAVING count(*) < CASE chrom WHEN 'M' THEN 100 WHEN 'X' THEN 1000000 ELSE (SELECT count(*) // 25 FROM calls) END""",
     ),
 )
 def check_min_rows(t):
-    return Q.check_min_rows(t("calls"), n=2400, other={"M": 100, "X": 1_000_000})
+    return Q.check_min_rows(t("calls"), n=t("calls").count() // 25, other={"M": 100, "X": 1_000_000})
 
 
 @query(

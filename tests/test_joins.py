@@ -142,7 +142,7 @@ def test_unmatched_ids(spark):
 def test_strategies(spark):
     df = spark.range(10)
     assert "ResolvedHint (strategy=broadcast)" in with_strategy(df, "broadcast")._jdf.queryExecution().analyzed().toString()
-    assert with_strategy(df, "broadcast", max_rows=9) is df
+    assert with_strategy(df, "broadcast", max_bytes=9) is df
     assert "shuffle_hash" in with_strategy(df, "shuffle_hash")._jdf.queryExecution().analyzed().toString()
     with pytest.raises(ValueError):
         with_strategy(df, "nested_loop")

@@ -1,5 +1,7 @@
 """Readers, writers and catalog helpers on small files."""
 
+from pathlib import Path
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -171,6 +173,21 @@ def test_staging_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     assert session.staging_root(Session()) == "hdfs:///shared"
 
 
+def test_staged_folders_are_released(spark, variants, monkeypatch):
+    monkeypatch.setattr(session, "_STAGED", [])
+    staged = session.stage(variants, "released")
+    folder = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert session.release(spark) == 1 and not Path(folder).exists()
+
+
+def test_configure_keeps_what_a_session_has_set(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        assert session.configure(spark).conf.get("spark.sql.session.timeZone") == "Europe/Paris"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_staged_rows_are_pruned_and_filtered_at_the_scan(spark, variants):
     staged = session.stage(variants, "test")
     assert rows(staged) == rows(variants)

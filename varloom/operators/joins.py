@@ -95,16 +95,20 @@ def join_coding(
     return keyed_join(variants, effects, key, how, strategy)
 
 
-def locate_genes(gene_list: DataFrame, genes: DataFrame, distinct: bool = True) -> DataFrame:
+def locate_genes(
+    gene_list: DataFrame, genes: DataFrame, distinct: bool = True, strategy: str | None = None
+) -> DataFrame:
     """Positions of the listed genes by name, one row per interval."""
     named = genes.withColumnRenamed("gene_name", "gene")
-    located = keyed_join(gene_list, named, ["gene"])
+    located = keyed_join(gene_list, named, ["gene"], strategy=strategy)
     return located.distinct() if distinct else located
 
 
-def join_gene_list(variants: DataFrame, gene_list: DataFrame, gene: str = "gene") -> DataFrame:
+def join_gene_list(
+    variants: DataFrame, gene_list: DataFrame, gene: str = "gene", strategy: str | None = None
+) -> DataFrame:
     """Left join of gene-list columns by gene name."""
-    return keyed_join(variants, gene_list.withColumnRenamed("gene", gene), [gene], "left")
+    return keyed_join(variants, gene_list.withColumnRenamed("gene", gene), [gene], "left", strategy)
 
 
 def full_merge_variants(
@@ -120,55 +124,71 @@ def full_merge_variants(
     return (merged if where is None else merged.where(where)).distinct()
 
 
-def unmatched_ids(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def unmatched_ids(left: DataFrame, right: DataFrame, key: str, strategy: str | None = None) -> DataFrame:
     """Ids held by one side only, as (left_<key>, right_<key>)."""
     a = left.select(F.col(key).alias(f"left_{key}")).distinct()
     b = right.select(F.col(key).alias(f"right_{key}")).distinct()
-    joined = a.join(b, F.col(f"left_{key}") == F.col(f"right_{key}"), "full")
+    joined = a.join(with_strategy(b, strategy), F.col(f"left_{key}") == F.col(f"right_{key}"), "full")
     return joined.where(F.col(f"left_{key}").isNull() | F.col(f"right_{key}").isNull())
 
 
-def members_in(left: DataFrame, right: DataFrame, on: KeyList) -> DataFrame:
-    """Rows whose key occurs in the other table."""
-    return left.join(right.select(*on).distinct(), list(on), "left_semi")
+def _keys(right: DataFrame, on: KeyList, copies: bool, strategy: str | None) -> DataFrame:
+    keys = right.select(*on)
+    return with_strategy(keys.distinct() if copies else keys, strategy)
 
 
-def members_not_in(left: DataFrame, right: DataFrame, on: KeyList) -> DataFrame:
-    """Rows whose key does not occur in the other table."""
-    return left.join(right.select(*on).distinct(), list(on), "left_anti")
+def members_in(
+    left: DataFrame, right: DataFrame, on: KeyList, copies: bool = False, strategy: str | None = None
+) -> DataFrame:
+    """Rows whose key occurs in the other table. With ``copies`` the other table's keys are deduplicated first, which
+    pays when it repeats them many times."""
+    return left.join(_keys(right, on, copies, strategy), list(on), "left_semi")
 
 
-def exists_predicates(left: DataFrame, right: DataFrame, on: KeyList, negate: bool = False) -> DataFrame:
+def members_not_in(
+    left: DataFrame, right: DataFrame, on: KeyList, copies: bool = False, strategy: str | None = None
+) -> DataFrame:
+    """Rows whose key does not occur in the other table; ``copies`` as in ``members_in``."""
+    return left.join(_keys(right, on, copies, strategy), list(on), "left_anti")
+
+
+def exists_predicates(
+    left: DataFrame, right: DataFrame, on: KeyList, negate: bool = False, strategy: str | None = None
+) -> DataFrame:
     """EXISTS / NOT EXISTS on an equality key."""
-    return members_not_in(left, right, on) if negate else members_in(left, right, on)
+    return (members_not_in if negate else members_in)(left, right, on, strategy=strategy)
 
 
-def merge_effects(variants: DataFrame, effects: DataFrame, key: str = "var_id") -> DataFrame:
+def merge_effects(
+    variants: DataFrame, effects: DataFrame, key: str = "var_id", strategy: str | None = None
+) -> DataFrame:
     """Variants with their effect columns, without repeated rows."""
-    return keyed_join(variants, effects, [key]).dropDuplicates()
+    return keyed_join(variants, effects, [key], strategy=strategy).dropDuplicates()
 
 
-def map_population(samples: DataFrame, panel: DataFrame, level: str = "super", unknown: str = "-") -> DataFrame:
+def map_population(
+    samples: DataFrame, panel: DataFrame, level: str = "super", unknown: str = "-", strategy: str | None = None
+) -> DataFrame:
     """Known population of each sample at super or sub level; ``-`` when the sample is not in the panel."""
     column = {"super": "super_pop", "sub": "pop"}[level]
     known = panel.select("sample", F.col(column).alias("known_pop"))
-    joined = keyed_join(samples, known, ["sample"], "left")
+    joined = keyed_join(samples, known, ["sample"], "left", strategy)
     return joined.withColumn("known_pop", F.coalesce("known_pop", F.lit(unknown)))
 
 
 def attach_subject(
-    results: DataFrame, metadata: DataFrame, vendor: str = "vendor_id", genome: str = "genome"
+    results: DataFrame, metadata: DataFrame, vendor: str = "vendor_id", genome: str = "genome", strategy: str | None = None
 ) -> DataFrame:
     """Left columns plus the subject id found by vendor id."""
     lookup = metadata.select(F.col(genome).alias(vendor), "subject_id")
-    return keyed_join(results, lookup, [vendor], "left")
+    return keyed_join(results, lookup, [vendor], "left", strategy)
 
 
-def strata_join(calls: DataFrame, counts: DataFrame) -> DataFrame:
+def strata_join(calls: DataFrame, counts: DataFrame, strategy: str | None = None) -> DataFrame:
     """Subject genotypes with the reference allele count of their site; the calls' ``strata_id`` is the position."""
-    return keyed_join(calls.withColumnRenamed("strata_id", "pos"), counts, ["chrom", "pos"])
+    return keyed_join(calls.withColumnRenamed("strata_id", "pos"), counts, ["chrom", "pos"], strategy=strategy)
 
 
-def zip_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def zip_columns(left: DataFrame, right: DataFrame, key: str, strategy: str | None = None) -> DataFrame:
     """Row-aligned frames side by side, aligned by an explicit key (a DataFrame has no row order)."""
-    return keyed_join(left, right, [key])
+    return keyed_join(left, right, [key], strategy=strategy)

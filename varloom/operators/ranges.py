@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom import schema as S
-from varloom.operators.hints import MAX_BROADCAST_ROWS, with_strategy
+from varloom.operators.hints import MAX_BROADCAST_BYTES, row_bytes, with_strategy
 
 _BIN, _BUILD_BIN, _LO, _HI, _CHROM = "__bin", "__build_bin", "__lo", "__hi", "__chrom"
 
@@ -26,10 +26,20 @@ def _binned(df: DataFrame, lo: Column, hi: Column, width: int | Column, name: st
     return df.withColumns({_LO: lo, _HI: hi}).where(F.col(_LO) <= F.col(_HI)).withColumn(name, F.explode(bins))
 
 
-def binned_rows(intervals: DataFrame, lo: Column, hi: Column, width: int) -> int:
-    """Number of rows the intervals give when listed by bin, from one sum over the intervals."""
-    n = F.when(lo <= hi, _bin(hi, width) - _bin(lo, width) + 1)
-    return intervals.agg(F.coalesce(F.sum(n), F.lit(0))).collect()[0][0]
+MEASURED_BROADCAST = "measured_broadcast"
+
+
+def range_strategy(
+    intervals: DataFrame, *, start: str = "start", stop: str = "stop", shift: int = 0, pad: int = 0, width: int = S.RANGE_BIN_WIDTH
+) -> str:
+    """Whether intervals listed by bin are small enough to broadcast, in bytes, from one sum over the intervals.
+
+    A plan with several joins against the same intervals asks once and hands the answer to each ``range_join``.
+    """
+    lo, hi = F.col(start) + (shift - pad), F.col(stop) + (shift + pad)
+    listed = F.when(lo <= hi, (_bin(hi, width) - _bin(lo, width) + 1) * (row_bytes(intervals) + 32))
+    size = intervals.agg(F.coalesce(F.sum(listed), F.lit(0))).first()[0]
+    return MEASURED_BROADCAST if size <= MAX_BROADCAST_BYTES else "shuffle_merge"
 
 
 def range_join(
@@ -55,8 +65,8 @@ def range_join(
     ``block`` names a column of the points that holds floor(pos / ``width``); where the points are stored by it, only the
     partitions that some interval touches are read.
 
-    Spark's size estimate does not see that listing by bin multiplies the intervals. So without a ``strategy`` the
-    listed rows are counted first: few enough are broadcast, which leaves the points where they are, and more are
+    Spark's size estimate does not see that listing by bin multiplies the intervals. So without a ``strategy``
+    ``range_strategy`` measures them first: little enough is broadcast, which leaves the points where they are, and more is
     joined by shuffle, where a hot bin is split at run time.
     """
     lo, hi = F.col(start) + (shift - pad), F.col(stop) + (shift + pad)
@@ -64,10 +74,8 @@ def range_join(
     extra = [] if how in ("left_semi", "left_anti") else [c for c in intervals.columns if c not in kept]
     build = _binned(intervals, lo, hi, width, _BUILD_BIN).select(F.col(chrom).alias(_CHROM), _BUILD_BIN, _LO, _HI, *extra)
     if strategy is None:
-        fits = binned_rows(intervals, lo, hi, width) <= MAX_BROADCAST_ROWS
-        build = F.broadcast(build) if fits else build.hint("shuffle_merge")
-    else:
-        build = with_strategy(build, strategy)
+        strategy = range_strategy(intervals, start=start, stop=stop, shift=shift, pad=pad, width=width)
+    build = F.broadcast(build) if strategy == MEASURED_BROADCAST else with_strategy(build, strategy)
     if block is None:
         probe, at = points.withColumn(_BIN, _bin(F.col(pos), width)), F.col(_BIN)
     else:

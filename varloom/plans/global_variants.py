@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame
 from varloom.functions.columns import with_ppc_rating, with_var_id, with_var_type
 from varloom.operators import joins as J
 from varloom.operators.aggregates import union_distinct_variants
+from varloom.operators.quality import check_not_shrunk
 from varloom.operators.ranges import range_join
+from varloom.session import stage
+from varloom.sources.readers import read_variants
+from varloom.sources.writers import insert_partitioned
 
 # The union is deduplicated on exactly these columns and every annotation joins on them, so the distinct variants are
 # shuffled once for the whole chain.
@@ -62,3 +66,19 @@ def global_variants(
     variants = range_join(variants, located, "left", start=start, stop=stop).drop(start, stop)
     rated = with_ppc_rating(with_var_type(variants, alt="allele"), alt="allele")
     return with_var_id(rated, alt="allele")
+
+
+def write_global_variants(
+    sources: Sequence[DataFrame], path: str, *, floor: int = 1000, mode: str = "overwrite", **tables
+) -> DataFrame:
+    """Builds the table, checks that annotation lost no variant, writes it by (chrom, blk_pos) and returns what is stored.
+
+    The annotated rows are staged, so the check and the write read one result. A failed check raises and writes nothing.
+    """
+    spark = sources[0].sparkSession
+    built = stage(global_variants(sources, **tables), "global-variants")
+    lost = check_not_shrunk(union_distinct_variants(*sources), built.select(*KEY).distinct(), floor).first()
+    if lost is not None:
+        raise ValueError(f"annotation left {lost['n_following']} of {lost['n_previous']} variants (at least {floor} expected)")
+    insert_partitioned(built, path, mode=mode)
+    return read_variants(spark, path, built.schema)

@@ -16,7 +16,7 @@ from varloom.functions.predicates import filter_autosomes, filter_high_risk, fil
 from varloom.operators import trio as R
 from varloom.operators.aggregates import concat_findings
 from varloom.operators.joins import join_locus_alt, join_on_variant, left_join_variant
-from varloom.operators.ranges import range_join, range_join_inner
+from varloom.operators.ranges import range_join, range_join_inner, range_strategy
 from varloom.session import stage
 
 CALL_COLUMNS = ["sample_id", "chrom", "pos", "ref", "alt", "qual", "filter", "gt"]
@@ -40,6 +40,7 @@ def region_variants(
     dann_in_prediction: bool = False,
     start: str = "txstart",
     stop: str = "txstop",
+    strategy: str | None = None,
 ) -> DataFrame:
     """Autosomal variants in gene regions with effect, rarity, significance, predictions and the predictive label.
 
@@ -48,7 +49,7 @@ def region_variants(
     """
     blocks = _blocks(effects)
     listed = filter_autosomes(effects).select(*S.VARIANT_KEY, *EFFECT_COLUMNS, *(["blk_pos"] if blocks else []))
-    located = range_join_inner(listed, regions, start=start, stop=stop, **blocks).drop(start, stop, "blk_pos")
+    located = range_join_inner(listed, regions, start=start, stop=stop, strategy=strategy, **blocks).drop(start, stop, "blk_pos")
     scored_by = dbnsfp.columns
     predictions = [c for c in S.DAMAGING_CALLS if c in scored_by]
     scores = dbnsfp.select(*S.LOCUS_ALT_KEY, *predictions, "cadd_raw", "dann_score", "interpro_domain")
@@ -75,11 +76,13 @@ def annotate_trios(
 
     The variants are annotated once each; the calls only take part in a semi join with the small region list, one
     deduplication and one join on the variant key. Both inputs of that join are free of copies, so its result is too.
-    Calls stored by (chrom, blk_pos) are read only in the blocks of the regions.
+    Calls stored by (chrom, blk_pos) are read only in the blocks of the regions. The regions are measured once for both
+    interval joins.
     """
-    variants = region_variants(regions, start=start, stop=stop, **tables)
+    strategy = range_strategy(regions, start=start, stop=stop)
+    variants = region_variants(regions, start=start, stop=stop, strategy=strategy, **tables)
     picked = filter_trio(filter_autosomes(calls), members, samples)
-    located = range_join(picked, regions, "left_semi", start=start, stop=stop, **_blocks(calls))
+    located = range_join(picked, regions, "left_semi", start=start, stop=stop, strategy=strategy, **_blocks(calls))
     return join_on_variant(normalize_gt(located.select(*CALL_COLUMNS, *keep)).distinct(), variants)
 
 

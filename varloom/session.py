@@ -21,9 +21,11 @@ ADAPTIVE = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Applies the adaptive settings to a session made elsewhere."""
+    """Applies the adaptive settings that a session made elsewhere has not set itself."""
+    own = spark.conf.getAll
     for key, value in ADAPTIVE.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -62,4 +64,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGED: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the folders this process has staged, once no frame that reads them is needed; how many there were."""
+    jvm, conf, n = spark._jvm, spark._jsc.hadoopConfiguration(), len(_STAGED)
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
