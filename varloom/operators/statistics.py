@@ -218,9 +218,9 @@ def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> D
 
     The walk is sequential, but what it does inside a block depends only on the first position it keeps there, and
     that is one of the block's first ``bp`` positions (or the one after them). So: (1) every block tabulates, for each
-    possible first position, the last one kept; (2) the tables of a chromosome, at most ``bp`` + 1 rows per block,
-    are chained to find where the walk enters each block; (3) every block walks once from its entry. No task sees more
-    than a block's positions or a chromosome's tables.
+    possible first position, the last one kept; walks soon meet, so the last position is a step function of the first,
+    and only its steps are kept; (2) the steps of a chromosome are chained to find where the walk enters each block; (3)
+    every block walks once from its entry. No task sees more than a block's positions or a chromosome's steps.
     """
     width = max(width, bp)
     sites = df.select("chrom", "pos").dropna().distinct().withColumn("blk", F.floor(F.col("pos") / width))
@@ -243,14 +243,10 @@ def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> D
             last = further
         start = int(block["blk"].iloc[0]) * width
         entries = min(n, int(np.searchsorted(pos, start + bp, side="left")) + 1)
-        return pd.DataFrame(
-            {
-                "chrom": block["chrom"].iloc[0],
-                "blk": block["blk"].iloc[0],
-                "first_pos": pos[:entries],
-                "last_pos": pos[last[:entries]],
-            }
-        )
+        first, kept = pos[:entries], pos[last[:entries]]
+        upper = np.append(kept[1:] != kept[:-1], True)[:entries]
+        chrom, blk = block["chrom"].iloc[0], block["blk"].iloc[0]
+        return pd.DataFrame({"chrom": chrom, "blk": blk, "first_pos": first[upper], "last_pos": kept[upper]})
 
     def chain(tables: pd.DataFrame) -> pd.DataFrame:
         entry, rows = None, []
@@ -258,7 +254,7 @@ def thin_markers(df: DataFrame, bp: int = 2000, width: int = S.BLOCK_WIDTH) -> D
             first = table["first_pos"].to_numpy()
             at = 0 if entry is None else int(np.searchsorted(first, entry, side="left"))
             if at < len(first):
-                rows.append((tables["chrom"].iloc[0], blk, first[at]))
+                rows.append((tables["chrom"].iloc[0], blk, blk * width if entry is None else entry))
                 entry = table["last_pos"].iloc[at] + bp
         return pd.DataFrame(rows, columns=["chrom", "blk", "entry"])
 

@@ -23,17 +23,6 @@ CHROMOSOMES = [str(n) for n in range(1, 23)] + ["X", "Y", "M"]
 SEX_CHROMOSOMES = ["X", "Y"]
 
 # ClinVar significance is a '|'-separated list of codes; 255 means "other" and is ignored by the patterns.
-CLINVAR_CODES = {
-    0: "uncertain significance",
-    1: "not provided",
-    2: "benign",
-    3: "likely benign",
-    4: "likely pathogenic",
-    5: "pathogenic",
-    6: "drug response",
-    7: "histocompatibility",
-    255: "other",
-}
 PATHOGENIC_STRICT = {"never": r"3|2[^5]|2$", "has": r"4|[^25]5|^5"}
 PATHOGENIC_LOOSE = {"never": r"3|2[^5]", "has": r"4|[^25]5"}
 
