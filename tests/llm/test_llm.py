@@ -449,3 +449,41 @@ def test_pipeline_stages_take_nulls(spark, sf_dir, column):
         out = apply(spark, docs, sf_dir)
         assert out.columns == docs.columns, name
         assert out.count() >= 0
+
+
+# ------------------------------------------------------------------------------------------------ queries and entry
+
+
+def test_registered_queries():
+    import __spark_entry__ as driver
+    from varloom.llm import queries
+
+    names = set(driver.queries())
+    assert set(queries.QUERIES) < names and "pipeline" in names
+    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries.QUERIES)] == []
+
+
+def test_chat_query_matches_its_oracle(spark, sf_dir):
+    from tests.compare import compare
+    from varloom.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{sf_dir}/conversations.parquet')")
+    verdict, n = compare(spark, con, queries.QUERIES["op6_chat"], queries.ORACLES["op6_chat"], sf_dir)
+    assert verdict == "ok" and n > 0
+
+
+def test_library_does_not_need_this_package(tmp_path):
+    """With the package and the pipeline gone, the entry still lists the other queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    for name in ("varloom", "bindings"):
+        shutil.copytree(root / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    script = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q and set(e.oracle_sql()) == set(q)"
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-1000:]
