@@ -32,7 +32,14 @@ def seeded(x: np.ndarray, seed: int) -> np.ndarray:
     return mix(x + U64((seed * int(ODD)) % (1 << 64)))
 
 
-CACHE: dict = {}  # tables worked out once per task
+class Cache(dict):
+    """Tables worked out once per task; it travels to the executors empty."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+CACHE: dict = Cache()
 
 
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
