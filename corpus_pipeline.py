@@ -43,9 +43,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document comes as many times as the mix takes it; rows of one doc_id share the largest number."""
-    copies = mixed(docs).where("copies > 0").groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max("copies").alias("mixed_copies"))
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed_id"]))
-    repeated = taken.withColumn("mixed_id", F.explode(F.sequence(F.lit(1), F.col("mixed_copies").cast("int"))))
+    copies = mixed(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__mixed_id")).agg(F.max("copies").alias("__mixed_copies"))
+    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__mixed_id"]))
+    repeated = taken.withColumn("__mixed_id", F.explode(F.sequence(F.lit(1), F.col("__mixed_copies").cast("int"))))
     return repeated.select(*[docs[c] for c in docs.columns])
 
 

@@ -211,6 +211,6 @@ def without_duplicate_lines(docs: DataFrame) -> DataFrame:
     gone = duplicate_lines(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("line").alias("gone_lines"))
     joined = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left")
     lines = F.split(docs["text"], "\n")
-    kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("gone_lines", s["i"]))
-    text = F.when(F.col("gone_lines").isNull(), docs["text"]).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
+    kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(gone["gone_lines"], s["i"]))
+    text = F.when(gone["gone_lines"].isNull(), docs["text"]).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
     return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
