@@ -74,14 +74,30 @@ def _passages(words: Words, number: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key >> 32, key & 0xFFFFFFFF, int(start[-1])
 
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, with the rows of the table kept as bits of one integer."""
+def places(a: np.ndarray) -> dict[int, int]:
+    """For each word of ``a`` its places, as bits."""
     where: dict[int, int] = {}
     for i, x in enumerate(a.tolist()):
         where[x] = where.get(x, 0) | 1 << i
+    return where
+
+
+def lcs(a: np.ndarray, b: np.ndarray, where: dict[int, int] | None = None, least: float = 0) -> int:
+    """Length of the longest common subsequence, with the rows of the table kept as bits of one integer.
+
+    0 if the places of ``a`` whose word occurs in ``b`` at all are fewer than ``least``: then it cannot be longer.
+    """
+    where = places(a) if where is None else where
+    words = b.tolist()
+    if least:
+        met = 0
+        for x in where.keys() & set(words):
+            met |= where[x]
+        if met.bit_count() < least:
+            return 0
     full = (1 << len(a)) - 1
     row = full
-    for x in b.tolist():
+    for x in words:
         m = row & where.get(x, 0)
         row = (row + m | row - m) & full
     return len(a) - row.bit_count()
@@ -123,16 +139,17 @@ def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
         for a in range(0, len(full), 16384):
             at = full[a : a + 16384]
             near = window[at] @ index.vectors[mine].T
-            near /= norm[at][:, None]
-            for i, j in zip(*np.nonzero(near >= COSINE), strict=True):
-                out.append((int(at[i]), int(mine[j]), float(near[i, j]), int(size)))
+            i, j = np.nonzero(near >= COSINE * norm[at][:, None])
+            cosine = near[i, j] / norm[at[i]]
+            out += zip(at[i].tolist(), mine[j].tolist(), cosine.tolist(), [int(size)] * len(i), strict=True)
     best: dict[tuple[int, int], tuple] = {}
+    known_places = {item: places(index.seqs[item]) for item in {o[1] for o in out}}
     for at, item, cosine, size in out:
         t = int(owner[min(at, len(owner) - 1)])
         a = words.first[t] + (at - start[t]) * STEP
         seq = index.seqs[item]
         piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + size * STEP + STEP)]
-        share = lcs(seq, piece) / len(seq)
+        share = lcs(seq, piece, known_places[item], LIKELY * len(seq)) / len(seq)
         if share < LIKELY:
             continue
         answer = index.answers[item]
