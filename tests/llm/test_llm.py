@@ -237,6 +237,32 @@ def test_contaminated(spark):
     assert contaminated(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_contaminated_finds_every_edit(spark):
+    """Kept and foreign words alike come from the items, so half-replaced copies are far from their item by cosine."""
+    rng = random.Random(16)
+    items = [(k, " ".join(words(rng, rng.randint(15, 50))) + ". " + prose(rng, 4) + ".") for k in range(40)]
+    pool = [w for _, t in items for w in tokens(t)]
+    docs = []
+    for i in range(160):
+        copy = tokens(items[i % 40][1])
+        for at in rng.sample(range(len(copy) - 4), round((0, 0.2, 0.3, 0.45)[i // 40] * len(copy))):
+            copy[at] = rng.choice(pool)
+        docs.append((i, " ".join(words(rng, rng.randint(0, 60)) + rng.choices(pool, k=20) + copy + words(rng, 40))))
+    want = set()
+    for (i, text), (k, item) in itertools.product(docs, items):
+        seq, answer = np.array([zlib.crc32(w.encode()) for w in tokens(item)]), len(tokens(item.split(". ")[1]))
+        h = np.array([zlib.crc32(w.encode()) for w in tokens(text)])
+        wide = 8 * (max(1, round(len(seq) / 8)) + (len(seq) < 40))
+        for a in range(0, len(h), 8):
+            piece = h[max(0, a - 8) : a + wide + 8]
+            share = lcs(seq, piece) / len(seq)
+            if share >= 0.7 or share >= 0.5 and lcs(seq[-answer:], piece) == answer:
+                want.add((i, k))
+    assert len(want) > 120
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame(spark, docs), bench).collect()} == want
+
+
 def test_scored(spark):
     rng = random.Random(7)
     common, rare = words(rng, 40), words(rng, 400)

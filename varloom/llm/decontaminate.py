@@ -1,4 +1,4 @@
-"""Benchmark decontamination: latent semantic retrieval of passages, then subsequence and answer checks."""
+"""Benchmark decontamination: retrieval of windows by an exact bound, subsequence and answer checks, latent cosine."""
 
 from __future__ import annotations
 
@@ -18,9 +18,10 @@ RANK = 96
 STEP = 8  # words between the starts of two windows
 PASSAGE = 32  # words of a passage that counts as one row of the TF-IDF matrix
 MAX_DF = 0.1  # words in a larger share of the passages carry no weight
-COSINE = 0.75
 SURE = 0.7  # shared subsequence, as a share of the item's words
 LIKELY = 0.5  # enough together with the answer
+NEED = 0.3  # of the words that must be met, the share that must be met among the rarer ones
+HITS = 1 << 21  # meetings of a word and an item that are laid out at a time
 ITEMS = 5_000  # items searched for in one pass
 
 
@@ -103,73 +104,115 @@ def lcs(a: np.ndarray, b: np.ndarray, where: dict[int, int] | None = None, least
     return len(a) - row.bit_count()
 
 
+def _set_posts(index: SimpleNamespace, df: np.ndarray) -> None:
+    """The words by which each item is looked for, and how often a window has to hold them.
+
+    ``LIKELY`` of an item's words must be met. The most frequent words are left out as long as some must still be met
+    without them, so a window that passes the check holds at least ``need`` of the others: nothing is lost.
+    """
+    item, term, need = [], [], np.zeros(len(index.seqs), np.int64)
+    for i, seq in enumerate(index.seqs):
+        if not len(seq):
+            continue
+        own, times = np.unique(np.searchsorted(index.terms, seq), return_counts=True)
+        least = int(np.ceil(LIKELY * len(seq) - 1e-9))
+        spare, keep = least - max(1, round(NEED * least)), np.ones(len(own), bool)
+        for k in np.argsort(-df[own], kind="stable").tolist():
+            if times[k] <= spare:
+                spare -= times[k]
+                keep[k] = False
+        need[i] = least - times[~keep].sum()
+        item.append(np.full(keep.sum(), i))
+        term.append(own[keep])
+    none = np.zeros(0, np.int64)
+    index.need, index.post_item, index.post_term = need, np.concatenate([none, *item]), np.concatenate([none, *term])
+    length = np.array([len(s) for s in index.seqs], np.int64)
+    index.sizes = np.maximum(1, np.round(length / STEP)).astype(np.int64)
+    # A short item may lie across a window's border.
+    index.wider = np.where(length < 5 * STEP, index.sizes + 1, index.sizes)
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, .. for n[0] numbers, then those from first[1], and so on."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else n
+
+
+def _candidates(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks: int):
+    """Items and first blocks of all windows, a block of margin on both sides, that hold enough of the item's words."""
+    known = np.flatnonzero(number >= 0)
+    known = known[np.argsort(number[known], kind="stable")]
+    times = np.bincount(number[known], minlength=len(index.terms))
+    border = np.concatenate([[0], np.cumsum(times)])
+    places = block[known]
+    total = np.cumsum(np.bincount(index.post_item, weights=times[index.post_term], minlength=len(index.seqs)).astype(np.int64))
+    lot = (total // HITS)[index.post_item]
+    for k in np.unique(lot):
+        mine = np.flatnonzero((lot == k) & (times[index.post_term] > 0))
+        term = index.post_term[mine]
+        hits = np.repeat(index.post_item[mine] * blocks, times[term]) + places[_spread(border[term], times[term])]
+        hits.sort()
+        item = hits // blocks
+        # A window that holds enough begins, at the latest, with its first hit.
+        end = np.searchsorted(hits, hits + index.wider[item] + 2)
+        full = np.flatnonzero(end - np.arange(len(hits)) >= index.need[item])
+        wide = index.wider[item[full]]
+        at = np.unique(_spread(hits[full] - wide, wide + 2)) if len(full) else full
+        item = at // blocks
+        held = np.searchsorted(hits, at + index.wider[item] + 1) - np.searchsorted(hits, at - 1)
+        at, item = at[held >= index.need[item]], item[held >= index.need[item]]
+        yield item, at - item * blocks
+
+
 def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
-    """(text, item, cosine, share, answered) for the windows near an item that pass the checks."""
+    """(text, item, share, cosine, answered) for the windows that pass the checks."""
     h, number = _numbers(index.terms, words)
     if not len(h) or not len(index.terms):
         return []
-    known = np.flatnonzero(number >= 0)
-    known = known[index.idf[number[known]] > 0]
-    # Words are laid out in blocks of STEP per text, with room behind each text for the longest window.
-    length = np.array([len(s) for s in index.seqs])
-    sizes = np.maximum(1, np.round(length / STEP)).astype(int)
-    wider = np.where(length < 5 * STEP, sizes + 1, sizes)  # a short item may lie across a window's border
-    widest = int(wider.max(initial=1))
-    per = -(-words.counts() // STEP) + widest
-    start = np.concatenate([[0], np.cumsum(per)])
+    # Words are laid out in blocks of STEP per text, with room before and behind each text for the longest window.
+    room = int(index.wider.max(initial=1)) + 1
+    per = -(-words.counts() // STEP)
+    start = np.cumsum(per + room) - per
     text = words.texts()
-    block = start[text[known]] + (known - words.first[:-1][text[known]]) // STEP
-    sums = np.zeros((start[-1] + 1, index.basis.shape[1]), np.float32)
-    if len(known):
-        new = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        for a in range(0, len(new), 8192):
-            b = min(a + 8192, len(new))
-            lo, hi = new[a], new[b] if b < len(new) else len(known)
-            sums[block[new[a:b]] + 1] = np.add.reduceat(index.basis[number[known[lo:hi]]], new[a:b] - lo, axis=0)
-    run = np.cumsum(sums, axis=0, dtype=np.float64)
-    owner = np.repeat(np.arange(words.n_texts), per)
-    out = []
-    for size in np.unique(np.concatenate([sizes, wider])):
-        mine = np.flatnonzero(((sizes == size) | (wider == size)) & (length > 0))
-        if not len(mine):
-            continue
-        window = (run[size:] - run[:-size]).astype(np.float32)
-        norm = np.linalg.norm(window, axis=1)
-        full = np.flatnonzero(norm > 1e-6)
-        for a in range(0, len(full), 16384):
-            at = full[a : a + 16384]
-            near = window[at] @ index.vectors[mine].T
-            i, j = np.nonzero(near >= COSINE * norm[at][:, None])
-            cosine = near[i, j] / norm[at[i]]
-            out += zip(at[i].tolist(), mine[j].tolist(), cosine.tolist(), [int(size)] * len(i), strict=True)
+    block = start[text] + (np.arange(len(h)) - words.first[:-1][text]) // STEP
     best: dict[tuple[int, int], tuple] = {}
-    known_places = {item: places(index.seqs[item]) for item in {o[1] for o in out}}
-    for at, item, cosine, size in out:
-        t = int(owner[min(at, len(owner) - 1)])
-        a = words.first[t] + (at - start[t]) * STEP
-        seq = index.seqs[item]
-        piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + size * STEP + STEP)]
-        share = lcs(seq, piece, known_places[item], LIKELY * len(seq)) / len(seq)
-        if share < LIKELY:
-            continue
-        answer = index.answers[item]
-        answered = len(answer) > 0 and lcs(answer, piece) == len(answer)
-        if share >= SURE or answered:
-            found = (share, cosine, answered)
-            best[t, item] = max(best.get((t, item), found), found)
+    known_places: dict[int, dict[int, int]] = {}
+    for items, ats in _candidates(index, number, block, int(start[-1] + per[-1] + room)):
+        owner = np.searchsorted(start, ats, side="right") - 1
+        inside = (owner >= 0) & (ats < start[owner] + per[owner])
+        for item, at, t in zip(items[inside].tolist(), ats[inside].tolist(), owner[inside].tolist(), strict=True):
+            a = int(words.first[t] + (at - start[t]) * STEP)
+            seq = index.seqs[item]
+            piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + (index.wider[item] + 1) * STEP)]
+            if item not in known_places:
+                known_places[item] = places(seq)
+            share = lcs(seq, piece, known_places[item], LIKELY * len(seq)) / len(seq)
+            if share < LIKELY:
+                continue
+            answer = index.answers[item]
+            answered = len(answer) > 0 and lcs(answer, piece) == len(answer)
+            if share >= SURE or answered:
+                found = (share, _cosine(index, number[a : min(words.first[t + 1], a + index.sizes[item] * STEP)], item), answered)
+                best[t, item] = max(best.get((t, item), found), found)
     return [(t, item, *v) for (t, item), v in best.items()]
 
 
+def _cosine(index: SimpleNamespace, number: np.ndarray, item: int) -> float:
+    """Cosine of a window and an item in the latent space; 0 if the window holds no weighted word."""
+    window = index.basis[number[number >= 0]].sum(0)
+    return float(window @ index.vectors[item] / max(np.linalg.norm(window), 1e-9))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS, rank: int = RANK) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, cosine, lcs_share, answered.
 
     Words of the items span the term space. Over all passages (``PASSAGE`` words each) of all documents: document
     frequencies, then one product of the TF-IDF matrix and its transpose with a random matrix, whose orthonormal range is
     the latent space; tasks send partial sums only. Every window of every document, of about an item's length and
-    ``STEP`` words apart, is compared with that item by cosine there. From ``COSINE`` on, the longest common
-    subsequence decides: ``SURE`` of the item's words, or ``LIKELY`` of them and its last sentence as the answer. This
-    takes edited and shortened items as well as copies. Items are taken ``items_per_pass`` at a time, so what is
-    broadcast stays bounded; documents are never shuffled.
+    ``STEP`` words apart, counts as near an item if it holds enough of its words (``_set_posts``): a bound that no window
+    that passes the check stays under. Then the longest common subsequence decides: ``SURE`` of the item's words, or
+    ``LIKELY`` of them and its last sentence as the answer. This takes edited and shortened items as well as copies;
+    ``cosine`` tells how near the window is in the latent space and decides nothing. Items are taken ``items_per_pass``
+    at a time, so what is broadcast stays bounded; documents are never shuffled.
 
     Null and empty texts hold nothing; null or empty items are found nowhere. Rows with the same doc_id are searched
     one by one and give one row per item, the best. A null doc_id is kept as a key. No items or documents: no rows.
@@ -208,6 +251,7 @@ def _pass(docs: DataFrame, index: SimpleNamespace, rank: int) -> DataFrame:
     df = np.zeros(len(index.terms) + 1)
     df[counts["term"].to_numpy()] = counts["n"].to_numpy()
     index.idf = _idf(df[:-1], int(df[-1]))
+    _set_posts(index, df[:-1])
     weighted = context.broadcast(index)
     probe = np.random.default_rng(0).normal(size=(len(index.terms), rank)).astype(np.float32) * index.idf[:, None]
 
