@@ -263,6 +263,19 @@ def test_contaminated_finds_every_edit(spark):
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame(spark, docs), bench).collect()} == want
 
 
+def test_contaminated_by_frequent_words(spark):
+    """Copies count whatever share of the passages holds their words: three documents, a hot leak, stop words only."""
+    rng = random.Random(26)
+    common = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "as"]
+    items = [(0, prose(rng, 32)), (1, " ".join(rng.choices(common, k=32)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    few = [(0, items[0][1]), (1, items[1][1]), (2, prose(rng, 32))]
+    many = [(i, items[0][1] if i % 3 == 0 else " ".join(rng.choices(common + words(rng, 5), k=96))) for i in range(90)] + [(90, items[1][1])]
+    for docs, want in ((few, {(0, 0), (1, 1)}), (many, {(i, 0) for i in range(0, 90, 3)} | {(90, 1)})):
+        got = {(r["doc_id"], r["item_id"]): r["cosine"] for r in contaminated(frame(spark, docs), bench).collect()}
+        assert {k for k, c in got.items() if c > 0.99} == want <= set(got)
+
+
 def test_scored(spark):
     rng = random.Random(7)
     common, rare = words(rng, 40), words(rng, 400)

@@ -17,7 +17,6 @@ from varloom.session import stage
 RANK = 96
 STEP = 8  # words between the starts of two windows
 PASSAGE = 32  # words of a passage that counts as one row of the TF-IDF matrix
-MAX_DF = 0.1  # words in a larger share of the passages carry no weight
 SURE = 0.7  # shared subsequence, as a share of the item's words
 LIKELY = 0.5  # enough together with the answer
 NEED = 0.3  # of the words that must be met, the share that must be met among the rarer ones
@@ -51,8 +50,8 @@ def _numbers(terms: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _idf(df: np.ndarray, passages: int) -> np.ndarray:
-    common = df / max(passages, 1) > MAX_DF
-    return np.where(common, 0.0, np.log((passages + 1) / (df + 1)) + 1e-3).astype(np.float32)
+    """Smoothed, never 0: a word of every passage still tells where an item may be."""
+    return (np.log((passages + 1) / (df + 1)) + 1e-2).astype(np.float32)
 
 
 def _set_basis(index: SimpleNamespace, product: np.ndarray) -> None:
@@ -262,8 +261,6 @@ def _pass(docs: DataFrame, index: SimpleNamespace, rank: int) -> DataFrame:
             for part in slices(batch):
                 words = words_of(part)
                 passage, term, n = _passages(words, _numbers(index.terms, words)[1])
-                useful = index.idf[term] > 0
-                passage, term = passage[useful], term[useful]
                 if not len(term):
                     continue
                 new = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
