@@ -396,6 +396,31 @@ def test_duplicate_lines(spark):
     assert duplicate_lines(frame(spark, [])).count() == 0
 
 
+def test_duplicate_lines_inside_runs(spark):
+    """A character replaced at any place of a run of equal ones, by brute force over every place."""
+    rng = random.Random(19)
+    lines = ["invoice 100 of the year 2000", "the committee book 111122", "aabbccddeeffgghhiijjkk", "x" * 22]
+    lines += ["".join(c * rng.randint(1, 4) for c in rng.choices("ab10", k=14))[:40].ljust(20, "z") for _ in range(10)]
+    every = list(dict.fromkeys(lines))
+    for line in list(every):
+        every += [line[:at] + rng.choice("5n01") + line[at + 1 :] for at in range(len(line))]
+        every += [line[:at] + line[at] + line[at:] for at in rng.sample(range(len(line)), 3)]
+    rows = list(enumerate(every))
+    first = {}
+    for i, x in rows:
+        first.setdefault(x, i)
+    want = set()
+    for i, x in rows:
+        near = [q for y, q in first.items() if y != x and q < first[x] and within_one(x, y)]
+        to = min(near, default=first[x])
+        if to != i:
+            want.add((i, 0, to, 0, int(bool(near))))
+    docs = frame(spark, rows)
+    assert {tuple(r) for r in duplicate_lines(docs).collect()} == want
+    pair = [(1, lines[0]), (2, lines[0].replace("100", "105")), (3, lines[1]), (4, lines[1].replace("mm", "mn"))]
+    assert {tuple(r) for r in duplicate_lines(frame(spark, pair)).collect()} == {(2, 0, 1, 0, 1), (4, 0, 3, 0, 1)}
+
+
 def test_within_one():
     for a, b, near in (("abc", "abc", 1), ("abc", "abd", 1), ("abc", "ab", 1), ("abc", "xabc", 1), ("abc", "acb", 0), ("abc", "a", 0), ("", "a", 1), ("ab", "cd", 0)):
         assert within_one(a, b) == bool(near)

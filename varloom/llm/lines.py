@@ -118,10 +118,11 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """key, h, gap: every way to leave out one character of a line, and the line itself.
+    """key, h, gap, fresh: a line without the character at each of its places, and the line itself (gap -1).
 
-    ``key`` hashes what remains; ``gap`` is the first place that leaves it so. Lines that differ by one replaced
-    character share key and gap; a line that misses one character of another is itself that one's key (gap -1).
+    ``key`` hashes what remains. Lines that differ by one replaced character share key and gap, also inside a run of equal
+    characters; a line that misses one character of another is itself that one's key. ``fresh`` marks the first place of
+    a run: the others leave the same.
     """
 
     def run(batches):
@@ -137,14 +138,15 @@ def variants(lines: DataFrame) -> DataFrame:
                 a, b = first[at], first[at + 1]
                 fresh = np.ones(len(points), bool)
                 fresh[1:] = (points[1:] != points[:-1]) | (at[1:] != at[:-1])
-                i, at, a, b = i[fresh], at[fresh], a[fresh], b[fresh]
                 gap = (i - a).astype(np.int32)
                 rest = s.piece(a, i) + s.piece(i + 1, b) * s.power[i - a]
                 key = np.concatenate([mix(rest + (b - a - 1).astype(U64)), _line_hash(s, first[:-1], first[1:])])
                 h = part.column(0).take(pa.array(np.concatenate([at, np.arange(len(n))])))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), h, pa.array(np.concatenate([gap, np.full(len(n), -1, np.int32)]))], names=["key", "h", "gap"])
+                gap = np.concatenate([gap, np.full(len(n), -1, np.int32)])
+                fresh = np.concatenate([fresh, np.ones(len(n), bool)])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), h, pa.array(gap), pa.array(fresh)], names=["key", "h", "gap", "fresh"])
 
-    return lines.select("h", "text").mapInArrow(run, "key long, h long, gap int")
+    return lines.select("h", "text").mapInArrow(run, "key long, h long, gap int, fresh boolean")
 
 
 def within_one(a: str, b: str) -> bool:
@@ -188,7 +190,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     best = swaps.groupBy("key", "gap").agg(F.min(member).alias("to"), F.count("*").alias("n")).where("n > 1")
     swapped = swaps.join(best.select("key", "gap", "to"), ["key", "gap"]).where("to.h <> h").select("h", "to")
     whole = spelled.where("gap = -1").select("key", F.col("h").alias("own"), F.col("place").alias("own_place"))
-    gaps = swaps.join(whole, "key").select("h", "place", "own", "own_place")
+    gaps = swaps.where("fresh").join(whole, "key").select("h", "place", "own", "own_place")
     added = gaps.where("own_place < place").select("h", F.struct(F.col("own_place").alias("place"), F.col("own").alias("h")).alias("to"))
     missing = gaps.where("place < own_place").select(F.col("own").alias("h"), member.alias("to"))
     pairs = swapped.union(added).union(missing).groupBy("h").agg(F.min("to").alias("to"))
