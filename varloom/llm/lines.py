@@ -165,8 +165,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     """Lines to remove: doc_id, line, kept_doc_id, kept_line, distance (0 or 1).
 
     Lines are trimmed; blank ones are left alone. Positions are ordered by doc_id and line. Of equal lines the earliest
-    stays. A line of ``MIN_CHARS`` or more goes with all its copies if some earlier line is one edit away (a character
-    replaced, added or missing), whether that line itself stays or not; ``kept_*`` names the earliest found.
+    stays. A line of ``MIN_CHARS`` or more goes with all its copies if some earlier line of ``MIN_CHARS`` or more is one
+    edit away (a character replaced, added or missing), whether that line itself stays or not; ``kept_*`` names the
+    earliest found.
 
     Equal lines are brought down to one by sums with partial sums. Only lines that share an anchor with another are
     spelled into variants; lines meet on equal variant hashes, each with the earliest of its bucket, so a bucket gives a
