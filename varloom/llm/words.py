@@ -105,9 +105,10 @@ class Words:
         return self.span_hash(self.starts, self.ends)
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> Words:
+    """The words of texts laid end to end; ``fold`` lowers A-Z first."""
     space, lower, value = tables()
-    data = lower[data]
+    data = lower[data] if fold else data
     is_word = ~space[data]
     begins = is_word.copy()
     begins[1:] &= ~is_word[:-1]
@@ -146,8 +147,8 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
         begin = end
 
 
-def words_of(batch: pa.RecordBatch, text: str = "text") -> Words:
-    return split(*raw(batch.column(batch.schema.get_field_index(text))))
+def words_of(batch: pa.RecordBatch, text: str = "text", fold: bool = True) -> Words:
+    return split(*raw(batch.column(batch.schema.get_field_index(text))), fold)
 
 
 def list_column(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
