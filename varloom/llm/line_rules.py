@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_LOST = 30  # percent of the words
 WINDOW = 3
 
-# A sentence may close with quotes or brackets behind its mark.
-ENDING = r"""[.!?…。！？؟।]["'”’»)\]]*[\x20\x09-\x0D]*\z"""
+# A sentence may close with quotes or brackets behind its mark, at the end of the line or before a space.
+ENDING = r"""[.!?…。！？؟।]["'”’»)\]]*([\x20\x09-\x0D]|\z)"""
 MARKS = r"[!?][!?]+"
 SYMBOLS = r"[#*$%&|<>]"
 STEPS = r"[|»›·•>]"
@@ -21,11 +23,13 @@ MENU = (
     r"(?i)\A\W*(home|menu|search|log ?in|log ?out|sign (in|up|out)|register|next|previous|prev|back|back to top|skip to (main )?content|"
     r"contact( us)?|about( us)?|sitemap|share|tweet|print|email|reply|faq|help)\W*\z"
 )
-BOILERPLATE = (
-    r"(?i)all rights reserved|copyright (©|\(c\)|[12][0-9]{3})|©|\(c\) [12][0-9]{3}|privacy policy|cookie policy|uses? cookies|"
-    r"terms of (use|service)|terms (and|&) conditions|subscribe to (our|the|this)|sign up for (our|the)|click here|read more|"
-    r"enable javascript|javascript (is|must be) |lorem ipsum|powered by |follow us on|share this|spdx-license-identifier"
-)
+#: Phrases of page furniture and licence headers, in lower case.
+BOILERPLATE = [
+    "all rights reserved", "copyright (c)", "copyright 19", "copyright 20", "©", "privacy policy", "cookie policy", "use cookies",
+    "uses cookies", "terms of use", "terms of service", "terms and conditions", "terms & conditions", "subscribe to our", "subscribe to the",
+    "sign up for our", "click here", "read more", "enable javascript", "javascript is", "javascript must be", "lorem ipsum",
+    "powered by ", "follow us on", "share this", "spdx-license-identifier",
+]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,10 +43,6 @@ def words_in(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SEPARATORS))
 
 
-def without(text: Column, pattern: str) -> Column:
-    return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
-
-
 def repeated_words(words: Column, size: int = WINDOW) -> Column:
     """Words that lie in a window of ``size`` words found twice or more, first included.
 
@@ -50,35 +50,45 @@ def repeated_words(words: Column, size: int = WINDOW) -> Column:
     the words up to the next one, ``size`` at most.
     """
 
-    def window(w: Column) -> Column:
-        return lambda x, i: F.struct(F.xxhash64(x, *[F.get(w, i + k) for k in range(1, size)]).alias("h"), i.alias("p"))
+    def hashes(w: Column) -> Column:
+        starts = F.slice(w, F.lit(1), F.size(w) - (size - 1))
+        return F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, size)]))
 
     def twice(s: Column) -> Column:
         hash_at = lambda i: F.get(s, i)["h"]
         met = F.filter(s, lambda x, i: (hash_at(i - 1) == x["h"]) | (hash_at(i + 1) == x["h"]))
-        return F.array_sort(F.transform(met, lambda x: x["p"]))
+        return F.sort_array(F.transform(met, lambda x: x["p"]))
 
     def covered(p: Column) -> Column:
         step = F.transform(p, lambda x, i: F.least(F.lit(size), F.coalesce(F.get(p, i + 1) - x, F.lit(size))))
         return F.aggregate(step, F.lit(0), lambda a, x: a + x)
 
-    def count(w: Column) -> Column:
-        windows = F.transform(F.slice(w, F.lit(1), F.size(w) - (size - 1)), window(w))
-        return let(F.sort_array(windows), lambda s: let(twice(s), covered))
+    def count(h: Column) -> Column:
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p")))
+        some = let(F.sort_array(placed), lambda s: let(twice(s), covered))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(some)
 
-    return let(words, lambda w: F.when(F.size(w) < size, F.lit(0)).otherwise(count(w)))
+    return let(words, lambda w: F.when(F.size(w) < size, F.lit(0)).otherwise(let(hashes(w), count)))
 
 
-def line_verdict(line: Column, n: Column) -> Column:
-    """Which rule a line with ``n`` words fails, or null. Lines without words fail none."""
+def measured(line: Column) -> Column:
+    """A line with its words, steps and symbols."""
+    found = {"n": WORD, "steps": STEPS, "symbols": SYMBOLS}
+    return F.struct(line.alias("line"), *[F.regexp_count(line, F.lit(p)).alias(n) for n, p in found.items()])
+
+
+def line_verdict(x: Column) -> Column:
+    """Which rule a measured line fails, or null. Lines without words fail none."""
+    line, n = x["line"], x["n"]
+    phrase = let(F.lower(line), lambda low: reduce(lambda a, b: a | b, [F.contains(low, F.lit(p)) for p in BOILERPLATE]))
     return (
         F.when(n == 0, F.lit(None).cast("string"))
-        .when((F.regexp_count(line, F.lit(STEPS)) >= 2) & (F.regexp_count(line, F.lit(STEPS)) * 6 > n), "navigation")
-        .when(line.rlike(MENU), "navigation")
-        .when(line.rlike(BOILERPLATE), "boilerplate")
-        .when((without(line, SYMBOLS) >= 3) & (without(line, SYMBOLS) * 10 > n), "symbols")
+        .when((x["steps"] >= 2) & (x["steps"] * 6 > n), "navigation")
+        .when((x["symbols"] >= 3) & (x["symbols"] * 10 > n), "symbols")
+        .when((n <= 4) & line.rlike(MENU), "navigation")
+        .when(phrase, "boilerplate")
         .when(F.regexp_count(line, F.lit(MARKS)) * 10 > n * 3, "marks")
-        .when(~line.rlike(ENDING), "no_end")
+        .when(~line.rlike(ENDING), "no_sentence")
     )
 
 
@@ -87,7 +97,7 @@ def cleaned_lines(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
 
     A line goes if it is navigation (two or more steps such as ``|`` or ``»``, more than one for six words, or nothing but a menu
     entry), holds a phrase of page boilerplate, has three or more symbols and more than one for ten words, has runs of ``!`` or
-    ``?`` behind more than three of ten words, or does not end like a sentence. Lines without words always stay. A
+    ``?`` behind more than three of ten words, or holds no end of a sentence. Lines without words always stay. A
     document is rejected if the lost lines hold more than ``max_lost`` percent of its words; ``base_failed`` (under 50 words, or
     more than half of them in repeated windows of three) rejects it as well.
 
@@ -98,21 +108,21 @@ def cleaned_lines(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     whole = F.coalesce(docs[text], F.lit(""))
     names = list(keep)
     rows = docs.select(*names, whole.alias("__text"))
-    lines = F.transform(F.split("__text", "\n"), lambda x: F.struct(x.alias("line"), F.size(words_in(x)).alias("n")))
-    judged = F.transform(lines, lambda x: F.struct(x["line"], x["n"], line_verdict(x["line"], x["n"]).alias("rule")))
+    lines = F.transform(F.split("__text", "\n"), measured)
+    judged = F.transform(lines, lambda x: F.struct(x["line"], x["n"], x["symbols"], line_verdict(x).alias("rule")))
     rows = rows.select("*", judged.alias("__lines"), words_in(F.col("__text")).alias("__words"))
     lost = F.filter("__lines", lambda x: x["rule"].isNotNull())
-    total = lambda lines: F.aggregate(lines, F.lit(0), lambda a, x: a + x["n"])
+    total = lambda lines, what: F.aggregate(lines, F.lit(0), lambda a, x: a + x[what])
     worded = F.transform(F.filter("__lines", lambda x: x["n"] > 0), lambda x: x["line"])
     stay = F.transform(F.filter("__lines", lambda x: x["rule"].isNull()), lambda x: x["line"])
     counts = {
         "n_words": F.size("__words"),
         "word_chars": F.char_length(F.array_join("__words", "")),
-        "n_symbols": without(F.col("__text"), SYMBOLS),
+        "n_symbols": total(F.col("__lines"), "symbols"),
         "n_dup_lines": let(worded, lambda w: F.size(w) - F.size(F.array_distinct(w))),
         "n_repeat_words": repeated_words(F.col("__words")),
         "n_lost_lines": F.size(lost),
-        "n_lost_words": total(lost),
+        "n_lost_words": total(lost, "n"),
     }
     rows = rows.select(
         *names,
@@ -132,6 +142,8 @@ def _sql(pattern: str) -> str:
 _N = f"len(regexp_extract_all(line, {_sql(SYMBOLS)}))"
 _S = f"len(regexp_extract_all(line, {_sql(STEPS)}))"
 
+_PHRASE = "(" + " OR ".join(f"contains(lower(line), {_sql(p)})" for p in BOILERPLATE) + ")"
+
 #: The same counts and verdict in SQL, over ``documents``.
 ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents),
@@ -140,7 +152,7 @@ win AS (SELECT row_no, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c FR
 again AS (SELECT row_no, i FROM (SELECT row_no, i, count(*) OVER (PARTITION BY row_no, a, b, c) AS met FROM win) WHERE met > 1),
 rep AS (SELECT row_no, count(DISTINCT i + k) AS n_repeat_words FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY row_no),
 l AS (SELECT row_no, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM w)),
-j AS (SELECT *, n > 0 AND (({_S} >= 2 AND {_S} * 6 > n) OR regexp_matches(line, {_sql(MENU)}) OR regexp_matches(line, {_sql(BOILERPLATE)})
+j AS (SELECT *, n > 0 AND (({_S} >= 2 AND {_S} * 6 > n) OR (n <= 4 AND regexp_matches(line, {_sql(MENU)})) OR {_PHRASE}
   OR ({_N} >= 3 AND {_N} * 10 > n) OR len(regexp_extract_all(line, {_sql(MARKS)})) * 10 > n * 3 OR NOT regexp_matches(line, {_sql(ENDING)})) AS bad FROM l),
 ls AS (SELECT row_no, count_if(n > 0) - count(DISTINCT CASE WHEN n > 0 THEN line END) AS n_dup_lines,
   CAST(coalesce(sum(CASE WHEN bad THEN n END), 0) AS BIGINT) AS n_lost_words FROM j GROUP BY row_no),
