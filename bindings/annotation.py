@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from bindings.labels import PPC
 from bindings.registry import query, sql
 from varloom.operators import effects as E
-from varloom.operators.aggregates import distinct_variants
+from varloom.operators.aggregates import distinct_variants, union_distinct_variants
 from varloom.operators.joins import merge_effects as merge
+from varloom.plans.global_variants import annotate_variants, create_global, extend_global, write_global_variants
 from varloom.plans.global_variants import global_variants as build
-from varloom.plans.global_variants import write_global_variants
 from varloom.session import staging_root
+from varloom.sources.bucketed import bucket_count, save_bucketed
 
 CALL_ROWS = """SELECT chrom AS CHROM, pos AS POS, var_id AS ID, ref AS REF, alt AS ALT, qual AS QUAL, filter AS FILTER,
   '.' AS INFO, 'GT' AS FORMAT, coalesce(gt, '.') AS GT FROM calls"""
@@ -81,6 +82,21 @@ def pipe_partitions(t):
     return E.pipe_partitions(rows, "cat", T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields]))
 
 
+@query(
+    "pipe_chain",
+    sql(
+        "calls",
+        """SELECT 'chr' || chrom AS CHROM, pos AS POS, var_id AS ID, ref AS REF, alt AS ALT, qual AS QUAL, 'KEPT' AS FILTER,
+        '.' AS INFO, 'GT' AS FORMAT, coalesce(gt, '.') AS GT FROM calls WHERE filter <> 'LowQual'""",
+    ),
+)
+def pipe_chain(t):
+    """Three programs in a row: one drops lines, one edits a field, one edits the start of the line."""
+    rows = E.to_vcf_rows(t("calls"), gt="gt")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    return E.pipe_chain(rows, ["sed /LowQual/d", "sed s/PASS/KEPT/", "sed s/^/chr/"], schema, timeout=600)
+
+
 def _global(source: str, call_rows: str) -> str:
     union = "\nUNION\n".join(
         [call_rows] + [f"SELECT chrom, blk_pos, pos, ref, alt FROM {n}" for n in ("dbnsfp", "kaviar", "clinvar", "dbsnp", "hgmd")]
@@ -118,6 +134,40 @@ def global_variants_written(t):
     return _build(t, t("calls"), lambda sources, **tables: write_global_variants(sources, path, floor=100, **tables))
 
 
+@query("global_variants_extended", _global("calls", "SELECT chrom, blk_pos, pos, ref, alt FROM calls"))
+def global_variants_extended(t):
+    """Stored from three sources, then two more added, then one: the same rows as the build from all six."""
+    path = f"{staging_root(t.spark)}/global-{uuid.uuid4().hex}"
+
+    def build(sources, **tables):
+        first = create_global(sources[3:], path, floor=100, **tables)
+        extend_global(sources[1:3], path, schema=first.schema, **tables)
+        return extend_global(sources[:1], path, schema=first.schema, **tables)
+
+    return _build(t, t("calls"), build)
+
+
+ANNOTATIONS = ("dbsnp", "kaviar", "clinvar", "hgmd", "dbnsfp", "coding")
+
+
+def bucketed_tables(t, buckets: int) -> dict:
+    """The six keyed annotation tables, stored in buckets of the variant key."""
+    return {
+        n: save_bucketed(t(n), f"{n}_{uuid.uuid4().hex}", buckets, path=f"{staging_root(t.spark)}/bucketed-{uuid.uuid4().hex}")
+        for n in ANNOTATIONS
+    }
+
+
+@query("global_variants_bucketed", _global("calls", "SELECT chrom, blk_pos, pos, ref, alt FROM calls"))
+def global_variants_bucketed(t):
+    """The distinct variants and the six annotation tables in the same buckets: six left joins without a shuffle."""
+    sources = [t("calls"), *[t(n) for n in ("dbnsfp", "kaviar", "clinvar", "dbsnp", "hgmd")]]
+    variants = union_distinct_variants(*sources)
+    buckets = bucket_count(t("calls"))
+    stored = save_bucketed(variants, f"variants_{uuid.uuid4().hex}", buckets, path=f"{staging_root(t.spark)}/bucketed-{uuid.uuid4().hex}")
+    return annotate_variants(stored, genes=t("genes"), **bucketed_tables(t, buckets))
+
+
 @query(
     "global_variants_cgi",
     _global(

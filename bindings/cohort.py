@@ -118,19 +118,19 @@ def compare_cohorts(t):
     return P.compare_cohorts(_ours(t), _theirs(t))
 
 
-# The samples both analyses loaded: every second family.
-LISTED = "sample_id IN (SELECT '101-' || family_id || '-' || member FROM calls WHERE family_id % 2 = 0)"
+# The samples that the file metadata lists as loaded.
+LISTED = "sample_id IN (SELECT '101-' || family_id || '-' || member FROM calls JOIN vcf_file USING (subject_id))"
 
 
 def _listed(t):
-    loaded = t("calls").where("family_id % 2 = 0")
+    loaded = t("calls").join(t("vcf_file").select("subject_id"), "subject_id", "left_semi")
     return loaded.select(F.concat_ws("-", F.lit("101"), F.col("family_id").cast("string"), "member").alias("sample_id")).distinct()
 
 
 @query(
     "only_ours",
     sql(
-        "cgi_calls clinvar gene_list calls",
+        "cgi_calls clinvar gene_list calls vcf_file",
         f"""SELECT report_id, gene, sample_id, chr, start, alt_call FROM ours WHERE {LISTED}
         AND report_id NOT IN (SELECT report_id FROM theirs WHERE report_id IS NOT NULL)""",
         COHORTS,
@@ -146,7 +146,7 @@ def only_ours(t):
 @query(
     "only_theirs",
     sql(
-        "cgi_calls clinvar gene_list calls",
+        "cgi_calls clinvar gene_list calls vcf_file",
         f"""SELECT report_id, gene, sample_id FROM theirs WHERE {LISTED} AND report_id NOT IN (SELECT report_id FROM ours
         WHERE report_id IS NOT NULL)""",
         COHORTS,

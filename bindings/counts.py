@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.registry import query, sql
 from varloom import schema as S
 from varloom.operators import aggregates as A
 from varloom.operators import quality as Q
+from varloom.operators import sketches as K
 from varloom.operators.joins import join_on_variant
+from varloom.session import staging_root
 
 CHROMS = ", ".join(f"('{c}')" for c in S.CHROMOSOMES if c != "M")
 
@@ -42,6 +46,37 @@ def count_distinct_samples(t):
     return A.count_distinct_samples(join_on_variant(t("calls").select("sample_id", *S.VARIANT_KEY), known))
 
 
+@query(
+    "sample_sketches",
+    sql(
+        "calls",
+        """SELECT chrom, n_samples, true AS near, true AS same FROM (
+          SELECT chrom, count(DISTINCT sample_id) AS n_samples FROM calls GROUP BY chrom
+          UNION ALL SELECT 'all', count(DISTINCT sample_id) FROM calls)""",
+    ),
+)
+def sample_sketches(t):
+    """Sketches per position block, stored in two batches, merged by block and chromosome or at once, beside the exact count.
+
+    ``near``: the estimate is within 3 percent of the exact count; ``same``: merging in steps gives the same estimate.
+    """
+    path = f"{staging_root(t.spark)}/sketches-{uuid.uuid4().hex}"
+    calls = t("calls").select("chrom", "blk_pos", "sample_id", "filter")
+    K.add_sketches(calls.where("filter = 'PASS'"), path)
+    K.add_sketches(calls.where("filter <> 'PASS'"), path)
+    stored = t.spark.read.schema("chrom string, blk_pos int, sketch binary").parquet(path)
+    by_block = K.merge_sketches(stored, ["chrom", "blk_pos"])
+    whole = F.lit("all").alias("chrom")
+    in_steps = K.merge_sketches(by_block, ["chrom"])
+    in_steps = in_steps.unionByName(K.merge_sketches(in_steps).select(whole, "sketch"))
+    at_once = K.merge_sketches(stored, ["chrom"]).unionByName(K.merge_sketches(stored).select(whole, "sketch"))
+    exact = calls.groupBy("chrom").agg(F.countDistinct("sample_id").alias("n_samples"))
+    exact = exact.unionByName(calls.agg(F.countDistinct("sample_id").alias("n_samples")).select(whole, "n_samples"))
+    found = exact.join(K.estimated_samples(in_steps, "stepped"), "chrom").join(K.estimated_samples(at_once, "direct"), "chrom")
+    near = F.abs(F.col("direct") - F.col("n_samples")) * 100 <= F.col("n_samples") * 3
+    return found.select("chrom", "n_samples", near.alias("near"), (F.col("stepped") == F.col("direct")).alias("same"))
+
+
 @query("count_by_chrom", sql("calls", "SELECT chrom, count(*) AS n FROM calls GROUP BY chrom"))
 def count_by_chrom(t):
     return A.count_by_chrom(t("calls"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import query, sql
+from varloom.operators import descent as D
 from varloom.operators import learning as L
 
 FEATURES = ["f1", "f2", "f3", "f4"]
@@ -107,6 +108,43 @@ _trained("linear", "mse")
 _trained("logistic", "error_rate")
 _trained("forest", "error_rate", 0.7)
 
+def _descent(slope: str, step: float, penalty: float = 0.0, iterations: int = 100) -> str:
+    """The same steps as a recursion: every step reads all training rows."""
+    dot = " + ".join(f"s.w{i} * p.{f}" for i, f in enumerate(FEATURES, 1))
+    means = ", ".join(f"avg(({slope.format(dot=dot)}) * p.{f}) AS g{i}" for i, f in enumerate(FEATURES, 1))
+    held = ", ".join(f"s.w{i}" for i in range(1, 5))
+    size = f"({step} / sqrt(CAST(i + 1 AS DOUBLE)))"
+    moved = ", ".join(f"w{i} * (1 - {size} * {penalty}) - {size} * g{i}" for i in range(1, 5))
+    return f"""{_parts(0.8)},
+  train AS MATERIALIZED (SELECT * FROM parts WHERE part = 'train'),
+  steps(i, w1, w2, w3, w4) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+    SELECT i + 1, {moved} FROM (SELECT s.i, {held}, {means} FROM steps s, train p WHERE s.i < {iterations} GROUP BY s.i, {held}))"""
+
+
+WEIGHTS = " UNION ALL ".join(f"SELECT '{f}' AS feature, round(w{i}, 6) AS weight FROM steps WHERE i = 100" for i, f in enumerate(FEATURES, 1))
+
+
+def _weights(t, train):
+    """Trained on the columns of the scaled training part; one row per feature."""
+    part, _ = L.stage_split(L.scale_features(_keyed(t)), (0.8, 0.2), 7, KEY)
+    weights = train(L.features_to_columns(part, FEATURES), FEATURES)
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(w).alias("weight")) for f, w in zip(FEATURES, weights, strict=True)]))
+    return t.spark.range(1).select(values.alias("x")).select("x.feature", F.round("x.weight", 6).alias("weight"))
+
+
+@query("train_linear_descent", sql("ml_matrix", WEIGHTS, _descent("{dot} - p.label", 0.1), recursive=True))
+def train_linear_descent(t):
+    return _weights(t, D.train_linear_descent)
+
+
+HINGE = "CASE WHEN 1 - (2 * p.label - 1) * ({dot}) > 0 THEN 1 - 2 * p.label ELSE 0 END"
+
+
+@query("train_svm_descent", sql("ml_matrix", WEIGHTS, _descent(HINGE, 1.0, 0.01), recursive=True))
+def train_svm_descent(t):
+    return _weights(t, D.train_svm_descent)
+
+
 # Multinomial naive Bayes in closed form: smoothed log shares of each feature's sum in a class.
 _sums = ", ".join(f"sum({f}) AS s{i}" for i, f in enumerate(FEATURES, 1))
 _all = " + ".join(f"s{i}" for i in range(1, 5))

@@ -182,7 +182,11 @@ def test_set_operations(spark):
     kind = "chrom string, pos int, ref string, alt string"
     a = spark.createDataFrame([("1", 1, "A", "C")] * 3 + [("1", 2, "A", "C")], kind)
     b = spark.createDataFrame([("1", 1, "A", "C")], kind)
-    assert rows(A.difference(a, b), "pos") == [(1,), (1,), (2,)]
+    assert rows(A.difference(a, b), "pos") == [(2,)]
+    # Copies stay or go together, nulls are equal.
+    c = spark.createDataFrame([("1", 1, "A", None)] * 2 + [("2", 5, "A", "C")] * 2, kind)
+    assert rows(A.difference(c, b), "pos") == [(1,), (1,), (5,), (5,)]
+    assert rows(A.difference(c, spark.createDataFrame([("1", 1, "A", None)], kind)), "pos") == [(5,), (5,)]
     merged = A.union_distinct_variants(a, b.withColumnRenamed("alt", "allele"), key=S.VARIANT_KEY)
     assert merged.columns == ["chrom", "pos", "ref", "allele"] and merged.count() == 2
     both = A.merge_genotypes(a.withColumn("s", F.lit(1)), b.withColumn("s", F.lit(2)))

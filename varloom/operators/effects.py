@@ -77,13 +77,27 @@ def tab_line(columns: Sequence[str]) -> Column:
 
 
 def pipe_partitions(df: DataFrame, command: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
-    """Rows as tab text through one external process per partition, and its output lines back as typed rows.
+    """Rows as tab text through one external process per partition, and its output lines back as typed rows."""
+    return pipe_chain(df, [command], schema, sep=sep)
 
-    Lines that start with ``#`` are skipped, and an empty or dotted cell of a non-text column is null. A failing process
-    fails its task, which Spark retries. Lines cross to Python in Arrow batches, are written to the process by a thread of
-    its own while output is read, and are built and parsed by Spark functions.
+
+def pipe_chain(
+    df: DataFrame, commands: Sequence[str], schema: T.StructType, sep: str = "\t", timeout: float | None = None, error_bytes: int = 4096
+) -> DataFrame:
+    """Rows as tab text through a chain of external processes per partition, and the last one's lines back as typed rows.
+
+    Each process reads what the one before it writes, through the system's pipes, so a slow one holds the others back and no
+    output piles up. Lines that start with ``#`` are skipped, and an empty or dotted cell of a non-text column is null.
+
+    If any process fails, or the whole chain takes more than ``timeout`` seconds in a partition, all of them are ended and the task
+    fails with the command, its status and the last ``error_bytes`` of its error text; Spark then retries the task. A process
+    that stops reading early is no failure if it ends well. No process outlives its task. Lines cross to Python in Arrow batches,
+    are written by a thread of its own while output is read, and are built and parsed by Spark functions.
     """
+    if not commands:
+        raise ValueError("a chain needs at least one command")
 
+    # What runs in tasks refers only to installed packages, so executors need no copy of this one.
     def run(batches):
         import shlex
         import subprocess
@@ -91,39 +105,85 @@ def pipe_partitions(df: DataFrame, command: str, schema: T.StructType, sep: str
 
         import pyarrow as pa
 
-        process = subprocess.Popen(shlex.split(command), stdin=subprocess.PIPE, stdout=subprocess.PIPE)
-        failed = []
+        chain, errors, failed, culprits, late = [], [], [], [], threading.Event()
+
+        def end_all():
+            for process in chain:
+                if process.poll() is None:
+                    process.kill()
 
-        def feed():
+        def feed(sink):
             try:
                 for batch in batches:
                     text = "".join(f"{line}\n" for line in batch.column(0).to_pylist())
-                    process.stdin.write(text.encode())
-                process.stdin.close()
+                    sink.write(text.encode())
+                sink.close()
             except BrokenPipeError:
-                pass  # the exit code tells
+                pass  # the exit codes tell
             except Exception as error:
                 failed.append(error)
-                process.kill()
-
-        writer = threading.Thread(target=feed, daemon=True)
-        writer.start()
-        held: list[str] = []
-        for line in process.stdout:
-            text = line.decode().rstrip("\n")
-            if text and not text.startswith("#"):
-                held.append(text)
-            if len(held) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["line"])
-                held = []
-        writer.join()
-        code = process.wait()
-        if failed:
-            raise failed[0]
-        if code:
-            raise RuntimeError(f"the process returned non-zero exit status {code}")
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["line"])
+                end_all()
+
+        def watch(i):
+            code = chain[i].wait()
+            # A process cut off by the early end of a later one has not failed.
+            if code and not (code == -13 and i + 1 < len(commands)) and not late.is_set() and not culprits:
+                culprits.append((i, code))
+                end_all()
+
+        def keep_tail(stream, held):
+            for piece in iter(lambda: stream.read1(4096), b""):
+                held[:] = [(b"".join(held) + piece)[-error_bytes:]]
+
+        def too_late():
+            late.set()
+            end_all()
+
+        def rows(lines):
+            return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["line"])
+
+        threads = []
+        clock = threading.Timer(timeout, too_late) if timeout else None
+        try:
+            for command in commands:
+                source = chain[-1].stdout if chain else subprocess.PIPE
+                chain.append(subprocess.Popen(shlex.split(command), stdin=source, stdout=subprocess.PIPE, stderr=subprocess.PIPE))
+                if source is not subprocess.PIPE:
+                    source.close()  # the next process alone holds that end, so an early end is felt upstream
+                errors.append([])
+                threads.append(threading.Thread(target=keep_tail, args=(chain[-1].stderr, errors[-1]), daemon=True))
+            threads.append(threading.Thread(target=feed, args=(chain[0].stdin,), daemon=True))
+            threads += [threading.Thread(target=watch, args=(i,), daemon=True) for i in range(len(chain))]
+            for thread in threads:
+                thread.start()
+            if clock:
+                clock.start()
+            held: list[str] = []
+            for line in chain[-1].stdout:
+                text = line.decode().rstrip("\n")
+                if text and not text.startswith("#"):
+                    held.append(text)
+                if len(held) >= 10_000:
+                    yield rows(held)
+                    held = []
+            for thread in threads:
+                thread.join()
+            if late.is_set():
+                raise RuntimeError(f"the processes took more than {timeout} seconds")
+            if failed:
+                raise failed[0]
+            if culprits:
+                i, code = culprits[0]
+                said = b"".join(errors[i]).decode(errors="replace").strip()
+                raise RuntimeError(f"{commands[i]!r} returned non-zero exit status {code}: {said}")
+            if held:
+                yield rows(held)
+        finally:
+            if clock:
+                clock.cancel()
+            end_all()
+            for process in chain:
+                process.wait()
 
     lines = df.select(tab_line(df.columns).alias("line")).mapInArrow(run, "line string")
     cells = F.split("line", sep)
