@@ -154,10 +154,12 @@ def scored(docs: DataFrame, sent, top: int) -> DataFrame:
     return docs.mapInArrow(run, "item long, doc_id long, score long, salt long")
 
 
-def ranked_block(docs: DataFrame, pairs: DataFrame, top: int) -> DataFrame:
-    """The ranking for the items of one block of (item_id, term) pairs, whose number is bounded."""
+def ranked_block(docs: DataFrame, pairs: DataFrame, top: int) -> DataFrame | None:
+    """The ranking for the items of one block of (item_id, term) pairs, whose number is bounded; None for an empty block."""
     context = docs.sparkSession.sparkContext
     rows = pairs.groupBy("item_id").agg(F.sort_array(F.collect_set("term")).alias("terms")).collect()
+    if not rows:
+        return None
     rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"]))
     terms = sorted({t for r in rows for t in r["terms"]})
     number = {t: i for i, t in enumerate(terms)}
@@ -201,6 +203,8 @@ def ranked_documents(docs: DataFrame, items: DataFrame, top: int = TOP, max_pair
     found = None
     for b in range(blocks):
         block = ranked_block(rows, pairs.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b), top)
+        if block is None:
+            continue
         block = stage(block, "ranked") if blocks > 1 else block
         found = block if found is None else found.unionByName(block)
     if found is None:
