@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.registry import query, sql
 from varloom import schema as S
 from varloom.functions.columns import allele_flags, dosage
+from varloom.operators import allele_counts as C
 from varloom.operators import statistics as A
 from varloom.operators.joins import members_in, members_not_in
+from varloom.operators.pruning import prune_by_frequency as by_frequency
 from varloom.plans.ancestry import ancestry_inputs as inputs
 from varloom.plans.ancestry import ancestry_results as results
+from varloom.session import staging_root
 
 DOSE = """dose AS (SELECT subject_id, chrom, pos, ref, alt, max(CASE WHEN gt = '1/1' THEN 2 ELSE 1 END) AS dosage FROM {source}
     WHERE gt IS NOT NULL GROUP BY ALL)"""
@@ -163,6 +168,70 @@ def ld_prune(t):
     return A.ld_prune(_dosages(t))
 
 
+# One event after the other: in a window the next pair of a pass, a new pass, or the next window.
+PRUNE = """mafs AS (SELECT i.chrom, i.idx, f.maf FROM idx i JOIN freq f USING (chrom, pos, ref, alt)),
+  edges AS MATERIALIZED (SELECT p.chrom, p.idx_i AS i, p.idx_j AS j, a.maf < b.maf * (1 - 1e-9) AS first_goes FROM pairs p
+    JOIN mafs a ON a.chrom = p.chrom AND a.idx = p.idx_i JOIN mafs b ON b.chrom = p.chrom AND b.idx = p.idx_j WHERE p.r2 > {cutoff}),
+  walk(chrom, n, s, here, changed, gone) AS (
+    SELECT chrom, max(idx) + 1, 0::BIGINT, -1::BIGINT, false, []::BIGINT[] FROM idx GROUP BY chrom
+    UNION ALL
+    SELECT chrom, n, CASE WHEN e IS NULL AND NOT changed THEN s + 5 ELSE s END, CASE WHEN e IS NULL THEN -1 ELSE e.i END, e IS NOT NULL,
+      CASE WHEN e IS NULL THEN gone ELSE list_append(gone, CASE WHEN e.first_goes THEN e.i ELSE e.j END) END
+    FROM (SELECT w.chrom, w.n, w.s, w.here, w.changed, w.gone, min({{'i': e.i, 'j': e.j, 'first_goes': e.first_goes}}) FILTER (e.i IS NOT NULL) AS e
+      FROM walk w LEFT JOIN edges e ON e.chrom = w.chrom AND e.i >= w.s AND e.i > w.here AND e.j < w.s + 50
+        AND NOT list_contains(w.gone, e.i) AND NOT list_contains(w.gone, e.j)
+      WHERE w.s < w.n GROUP BY ALL))"""
+FREQUENCIES = ANY.format(source="calls") + "," + FREQ.format(rates=RATES, marker=SITES, cohort=CUSTOMERS)
+
+
+@query(
+    "prune_by_frequency",
+    sql(
+        "calls",
+        """SELECT i.* FROM idx i WHERE NOT EXISTS (SELECT 1 FROM walk w WHERE w.s >= w.n AND w.chrom = i.chrom
+        AND list_contains(w.gone, i.idx))""",
+        ",".join([LD, FREQUENCIES, PRUNE.format(cutoff=0.5)]),
+        recursive=True,
+    ),
+)
+def prune_by_frequency(t):
+    return by_frequency(_dosages(t), A.dosage_frequency(_every(t), _cohort(t)))
+
+
+@query(
+    "stored_frequency",
+    sql("calls", "SELECT * FROM freq", FREQUENCIES),
+)
+def stored_frequency(t):
+    """Counts of two load batches, each stored on its own: the rows of ``dosage_frequency``."""
+    path = f"{staging_root(t.spark)}/counts-{uuid.uuid4().hex}"
+    samples = t("customer").select(F.col("c_custkey").alias("subject_id"), "c_mktsegment")
+    for batch, segment in (("first", F.col("c_mktsegment") < "F"), ("second", F.col("c_mktsegment") >= "F")):
+        of = samples.where(segment).select("subject_id")
+        C.add_batch(A.sample_dosages(dosage(members_in(t("calls"), of, ["subject_id"])), missing=True), of, path, batch)
+    return C.stored_frequency(t.spark, path)
+
+
+@query(
+    "stored_population_frequency",
+    sql(
+        "calls panel",
+        f"""SELECT *, {RATES} FROM (SELECT chrom, pos, ref, alt, super_pop, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS alt_alleles,
+        max(size) - count(*) FILTER (dosage IS NULL) AS n_samples FROM every d JOIN panel p ON d.subject_id = p.sample
+        JOIN (SELECT super_pop AS s, count(DISTINCT sample) AS size FROM panel GROUP BY ALL) ON s = super_pop GROUP BY ALL)""",
+        ANY.format(source="calls"),
+    ),
+)
+def stored_population_frequency(t):
+    """The same by population, in batches by the gender of the panel's samples."""
+    path = f"{staging_root(t.spark)}/counts-{uuid.uuid4().hex}"
+    for batch in ("male", "female"):
+        of = t("panel").where(F.col("gender") == batch).select(F.col("sample").alias("subject_id"), "super_pop")
+        dosages = A.sample_dosages(dosage(members_in(t("calls"), of, ["subject_id"])), missing=True)
+        C.add_batch(dosages, of, path, batch, by=["super_pop"])
+    return C.stored_frequency(t.spark, path, by=["super_pop"])
+
+
 @query(
     "thin_markers",
     sql(
