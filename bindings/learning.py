@@ -108,17 +108,25 @@ _trained("linear", "mse")
 _trained("logistic", "error_rate")
 _trained("forest", "error_rate", 0.7)
 
-def _descent(slope: str, step: float, penalty: float = 0.0, iterations: int = 100) -> str:
+HINGE = "CASE WHEN 1 - (2 * p.label - 1) * ({dot}) > 0 THEN 1 - 2 * p.label ELSE 0 END"
+SLOPES = {"linear": ("{dot} - p.label", 0.1, 0.0), "svm": (HINGE, 1.0, 0.01), "logistic": ("1 / (1 + exp(-({dot}))) - p.label", 1.0, 0.0)}
+TRAIN = "train AS MATERIALIZED (SELECT * FROM parts WHERE part = 'train')"
+
+
+def _steps(model: str, iterations: int = 100, name: str = "steps") -> str:
     """The same steps as a recursion: every step reads all training rows."""
+    slope, step, penalty = SLOPES[model]
     dot = " + ".join(f"s.w{i} * p.{f}" for i, f in enumerate(FEATURES, 1))
     means = ", ".join(f"avg(({slope.format(dot=dot)}) * p.{f}) AS g{i}" for i, f in enumerate(FEATURES, 1))
     held = ", ".join(f"s.w{i}" for i in range(1, 5))
     size = f"({step} / sqrt(CAST(i + 1 AS DOUBLE)))"
     moved = ", ".join(f"w{i} * (1 - {size} * {penalty}) - {size} * g{i}" for i in range(1, 5))
-    return f"""{_parts(0.8)},
-  train AS MATERIALIZED (SELECT * FROM parts WHERE part = 'train'),
-  steps(i, w1, w2, w3, w4) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
-    SELECT i + 1, {moved} FROM (SELECT s.i, {held}, {means} FROM steps s, train p WHERE s.i < {iterations} GROUP BY s.i, {held}))"""
+    return f"""{name}(i, w1, w2, w3, w4) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+    SELECT i + 1, {moved} FROM (SELECT s.i, {held}, {means} FROM {name} s, train p WHERE s.i < {iterations} GROUP BY s.i, {held}))"""
+
+
+def _descent(model: str) -> str:
+    return ",".join([_parts(0.8), TRAIN, _steps(model)])
 
 
 WEIGHTS = " UNION ALL ".join(f"SELECT '{f}' AS feature, round(w{i}, 6) AS weight FROM steps WHERE i = 100" for i, f in enumerate(FEATURES, 1))
@@ -132,15 +140,12 @@ def _weights(t, train):
     return t.spark.range(1).select(values.alias("x")).select("x.feature", F.round("x.weight", 6).alias("weight"))
 
 
-@query("train_linear_descent", sql("ml_matrix", WEIGHTS, _descent("{dot} - p.label", 0.1), recursive=True))
+@query("train_linear_descent", sql("ml_matrix", WEIGHTS, _descent("linear"), recursive=True))
 def train_linear_descent(t):
     return _weights(t, D.train_linear_descent)
 
 
-HINGE = "CASE WHEN 1 - (2 * p.label - 1) * ({dot}) > 0 THEN 1 - 2 * p.label ELSE 0 END"
-
-
-@query("train_svm_descent", sql("ml_matrix", WEIGHTS, _descent(HINGE, 1.0, 0.01), recursive=True))
+@query("train_svm_descent", sql("ml_matrix", WEIGHTS, _descent("svm"), recursive=True))
 def train_svm_descent(t):
     return _weights(t, D.train_svm_descent)
 
@@ -177,3 +182,33 @@ COMPARED = {"svm": "error_rate", "linear": "mse", "logistic": "error_rate", "for
 def compare_models(t):
     train, test = L.split_data(L.scale_features(_keyed(t)), (0.8, 0.2), 7, KEY)
     return _described(L.compare_models(_keyed(t), models=tuple(COMPARED), key=KEY), train, test)
+
+
+COMPARE_STEPS = 20
+_dot = " + ".join(f"s.w{i} * p.{f}" for i, f in enumerate(FEATURES, 1))
+
+
+def _error(model: str) -> str:
+    guess = f"CASE WHEN {_dot} > 0 THEN 1 ELSE 0 END"
+    wrong = f"(p.label - ({_dot})) * (p.label - ({_dot}))" if model == "linear" else f"CAST(p.label <> {guess} AS INT)"
+    return f"""SELECT '{model}' AS model, '{'mse' if model == 'linear' else 'error_rate'}' AS metric, round(avg({wrong}), 6) AS value
+        FROM {model}_steps s, parts p WHERE s.i = {COMPARE_STEPS} AND p.part = 'test'"""
+
+
+@query(
+    "compare_descents",
+    sql(
+        "ml_matrix",
+        " UNION ALL ".join(
+            [*[_error(m) for m in SLOPES], "SELECT 'naive_bayes', 'mse', round(avg((label - guess) * (label - guess)), 6) FROM guesses"]
+        ),
+        ",".join([BAYES, TRAIN, *[_steps(m, COMPARE_STEPS, f"{m}_steps") for m in SLOPES]]),
+        recursive=True,
+    ),
+)
+def compare_descents(t):
+    """The four models of the comparison, every error worked out on both sides: three by descent, one in closed form."""
+    train, test = L.stage_split(L.scale_features(_keyed(t)), (0.8, 0.2), 7, KEY)
+    bayes = L.evaluate("naive_bayes", train, test)
+    columns = [L.features_to_columns(part, FEATURES) for part in (train, test)]
+    return D.compare_descents(*columns, FEATURES, COMPARE_STEPS).unionByName(bayes).withColumn("value", F.round("value", 6))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from bindings.annotation import EFFECT_ROWS
@@ -12,8 +14,10 @@ from varloom.operators.aggregates import concat_findings as concat
 from varloom.operators.aggregates import summarize_findings as summarize
 from varloom.operators.effects import first_effect
 from varloom.operators.joins import locate_genes
+from varloom.plans import stored as X
 from varloom.plans import trio as P
-from varloom.session import stage
+from varloom.session import stage, staging_root
+from varloom.sources.writers import save_rows
 
 VIEWS = "calls kaviar clinvar dbnsfp vcf_info genes gene_list"
 SAME = "n.chrom = p.chrom AND n.pos = p.pos AND n.ref = p.ref AND n.alt = p.alt"
@@ -200,9 +204,7 @@ def review_findings(t):
     return R.review_findings(findings).select("sample_id", "var_id", "gene", "family_id", "var_class", "reason")
 
 
-@query(
-    "nbs_high_risk",
-    sql(
+HIGH_RISK = sql(
         VIEWS + " coding sites",
         f"""SELECT c.sample_id, c.chrom, c.pos, c.ref, c.alt, c.qual, c.dp, replace(c.gt, '1/2', '0/1') AS gt, l.gene, l.inheritance,
         g.txstart + 1000 AS region_start, g.txstop + 1000 AS region_stop, v.kav_freq, k.clin_sig, d.dann_score, e.effect, e.impact
@@ -212,8 +214,10 @@ def review_findings(t):
         LEFT JOIN dbnsfp d ON c.var_id = d.var_id JOIN coding e ON c.var_id = e.var_id
         WHERE c.qual >= 30 AND c.dp >= 10 AND c.gt IS NOT NULL
         AND (((v.kav_freq < 0.01 OR v.kav_freq IS NULL) AND e.impact = 'HIGH') OR ({STRICT}))""",
-    ),
-)
+    )
+
+
+@query("nbs_high_risk", HIGH_RISK)
 def nbs_high_risk(t):
     key = ["chrom", "pos", "ref", "alt"]
     known = t("sites").select(*key)
@@ -222,3 +226,25 @@ def nbs_high_risk(t):
     calls = t("calls").select("sample_id", *key, "blk_pos", "qual", "dp", "gt")
     regions = locate_genes(t("gene_list"), t("genes")).drop("strand", "phenotype")
     return P.nbs_high_risk(calls, regions, known, t("coding").select(*key, "effect", "impact")).drop("blk_pos")
+
+
+@query("high_risk_stored", HIGH_RISK)
+def high_risk_stored(t):
+    """The same report over stored tables with statistics and histograms."""
+    key = ["chrom", "pos", "ref", "alt"]
+    known = t("sites").select(*key)
+    for table, column in {"kaviar": "kav_freq", "clinvar": "clin_sig", "dbnsfp": "dann_score"}.items():
+        known = known.join(t(table).select(*key, column), key, "left")
+    regions = locate_genes(t("gene_list"), t("genes")).drop("strand", "phenotype")
+    tables = {
+        "calls": t("calls").select("sample_id", *key, "qual", "dp", "gt"),
+        "located": X.locate_variants(known, regions, shift=1000),
+        "variants": known,
+        "coding": t("coding").select(*key, "effect", "impact"),
+    }
+    names = {n: f"{n}_{uuid.uuid4().hex}" for n in tables}
+    for n, rows in tables.items():
+        save_rows(rows, names[n], path=f"{staging_root(t.spark)}/{names[n]}")
+    X.analyze(t.spark, *names.values())
+    with X.session_settings(t.spark, X.COST_BASED):
+        return stage(X.high_risk_stored(t.spark, *[names[n] for n in ("calls", "located", "variants", "coding")]), "high-risk")

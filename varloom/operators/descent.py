@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from varloom.operators.learning import error_rate, mean_squared_error
 from varloom.session import stage
 
 LOSSES = ("squared", "hinge", "logistic")
@@ -89,7 +90,30 @@ def train_svm_descent(df: DataFrame, features: Sequence[str], iterations: int =
     return gradient_descent(df, features, loss="hinge", iterations=iterations, penalty=penalty, **options)
 
 
+def train_logistic_descent(df: DataFrame, features: Sequence[str], iterations: int = 100, **options) -> list[float]:
+    """Logistic regression."""
+    return gradient_descent(df, features, loss="logistic", iterations=iterations, **options)
+
+
 def predicted(df: DataFrame, weights: Sequence[float], features: Sequence[str], threshold: float | None = None) -> DataFrame:
     """Rows with ``prediction``: the weighted sum, or 1 where it is over the threshold and else 0."""
     dot = margin(weights, features)
     return df.withColumn("prediction", dot if threshold is None else F.when(dot > threshold, 1.0).otherwise(0.0))
+
+
+#: Trainer, threshold of the weighted sum for class 1, and measure: the linear model is judged by squared error.
+DESCENTS = {
+    "svm": (train_svm_descent, 0.0, error_rate),
+    "linear": (train_linear_descent, None, mean_squared_error),
+    "logistic": (train_logistic_descent, 0.0, error_rate),
+}
+
+
+def compare_descents(train: DataFrame, test: DataFrame, features: Sequence[str], iterations: int = 100) -> DataFrame:
+    """(model, metric, value) of the three models trained by descent on ``train`` and measured on ``test``."""
+    rows = []
+    for name, (trainer, threshold, measure) in DESCENTS.items():
+        scored = measure(predicted(test, trainer(train, features, iterations=iterations), features, threshold))
+        metric = scored.columns[0]
+        rows.append(scored.select(F.lit(name).alias("model"), F.lit(metric).alias("metric"), F.col(metric).alias("value")))
+    return reduce(DataFrame.unionByName, rows)
