@@ -298,3 +298,47 @@ def test_clean_documents_stay(spark, sf_dir):
     bad = judged.where("(quality = 1 and not base_failed and not kept) or (quality = 0 and kept)")
     assert bad.count() == 0 and line_rules.MAX_LOST == 30
     assert judged.where(F.col("kept")).count() > 0
+
+
+# -------------------------------------------------------------------------------------------------------- decontamination
+
+
+def test_item_ids_come_back_as_they_are(spark):
+    """Null, negative and large ids, which a column of doubles could not hold."""
+    from varloom.llm.decontaminate import contaminated
+
+    rng = random.Random(31)
+    made = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    ids = [(1 << 53) + 1, None, -5, 7, (1 << 63) - 1]
+    items = [(i, made(30) + ". " + made(4) + ".") for i in ids]
+    docs = [(k, made(40) + " " + t + " " + made(40)) for k, (_, t) in enumerate(items)] + [(9, made(90))]
+    bench = spark.createDataFrame([*items, (3, None), (None, "")], "item_id long, text string")
+    for size in (5_000, 2):
+        got = {(r.doc_id, r.item_id): r.cosine for r in contaminated(frame(spark, docs), bench, items_per_pass=size).collect()}
+        assert set(got) == {(k, i) for k, i in enumerate(ids)} and all(c > 0.8 for c in got.values())
+
+
+def test_far_windows_are_no_candidates(spark, monkeypatch):
+    """The cosine decides what is looked at: with a threshold over 1 nothing is, whatever the shared words."""
+    from varloom.llm import decontaminate
+
+    text = " ".join(f"w{i}" for i in range(40))
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert decontaminate.contaminated(frame(spark, [(1, text)]), bench).count() == 1
+    monkeypatch.setattr(decontaminate, "COSINE", 1.1)
+    assert decontaminate.contaminated(frame(spark, [(1, text)]), bench).count() == 0
+
+
+def test_dense_and_sparse_products_agree(monkeypatch):
+    from varloom.llm import decontaminate
+
+    rng = np.random.default_rng(4)
+    key = np.unique(rng.integers(0, 3000, 4000) * 100 + rng.integers(0, 100, 4000))
+    passage, term, probe = key // 100, key % 100, rng.normal(size=(100, 7)).astype(np.float32)
+    whole = np.zeros((3000, 100))
+    whole[passage, term] = 1
+    for most in (4096, 0):
+        monkeypatch.setattr(decontaminate, "DENSE", most)
+        total = np.zeros((100, 7))
+        decontaminate._times_itself(passage, term, 3000, probe, total)
+        assert np.allclose(total, whole.T @ (whole @ probe), rtol=1e-4, atol=1e-3)

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: retrieval of windows by an exact bound, subsequence and answer checks, latent cosine."""
+"""Benchmark decontamination: latent semantic retrieval of windows, then subsequence and answer checks."""
 
 from __future__ import annotations
 
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from varloom.llm.words import Words, raw, slices, split, words_of
 from varloom.session import stage
 
-RANK = 96
+RANKS = (96, 256)  # of the latent space: one for ``TERMS_PER_RANK`` terms of the items, inside these bounds
+TERMS_PER_RANK = 16
+COSINE = 0.4  # of a window and an item in the latent space; kept words give about their share, and ``LIKELY`` is 0.5
 STEP = 8  # words between the starts of two windows
 PASSAGE = 32  # words of a passage that counts as one row of the TF-IDF matrix
 SURE = 0.7  # shared subsequence, as a share of the item's words
@@ -22,17 +24,19 @@ LIKELY = 0.5  # enough together with the answer
 NEED = 0.3  # of the words that must be met, the share that must be met among the rarer ones
 HITS = 1 << 21  # meetings of a word and an item that are laid out at a time
 ITEMS = 5_000  # items searched for in one pass
+DENSE = 4_096  # terms up to which passages are multiplied as dense rows
+LOT = 16_384  # blocks whose windows are compared together
 
 
-def make_index(items: pd.DataFrame) -> SimpleNamespace:
-    """The items of one pass as arrays: ids, words, answers, terms. Bounded by ``ITEMS`` items."""
-    texts = items["text"].fillna("").tolist()
+def make_index(items: pa.Table) -> SimpleNamespace:
+    """The items of one pass as arrays: ids (null too), words, answers, terms. Bounded by ``ITEMS`` items."""
+    items = items.sort_by([("item_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    texts = [t or "" for t in items["text"].to_pylist()]
     words = split(*raw(pa.array(texts, pa.large_string())))
     last = [re.split(r"(?<=[.!?])\s+|\n", t.strip())[-1] for t in texts]
     tail = split(*raw(pa.array(last, pa.large_string())))
-    return SimpleNamespace(
-        ids=items["item_id"].to_numpy(), seqs=_rows(words), answers=_rows(tail), terms=np.unique(words.hashes())
-    )
+    ids = pa.array(items["item_id"].to_pylist(), pa.int64())
+    return SimpleNamespace(ids=ids, seqs=_rows(words), answers=_rows(tail), terms=np.unique(words.hashes()))
 
 
 def _rows(words: Words) -> list[np.ndarray]:
@@ -74,6 +78,23 @@ def _passages(words: Words, number: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key >> 32, key & 0xFFFFFFFF, int(start[-1])
 
 
+def _times_itself(passage: np.ndarray, term: np.ndarray, n: int, probe: np.ndarray, total: np.ndarray) -> None:
+    """Adds N'(N probe) to ``total``, for the rows of N (passages) given by their terms, in order of passage."""
+    if len(probe) <= DENSE:
+        for a in range(0, n, 1024):
+            lo, hi = np.searchsorted(passage, [a, a + 1024])
+            rows = np.zeros((1024, len(probe)), np.float32)
+            rows[passage[lo:hi] - a, term[lo:hi]] = 1
+            total += rows.T @ (rows @ probe)
+    elif len(term):
+        new = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+        y = np.add.reduceat(probe[term], new, axis=0)
+        row = np.cumsum(np.concatenate([[0], (passage[1:] != passage[:-1]).astype(np.int64)]))
+        order = np.argsort(term, kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], np.diff(term[order]) != 0]))
+        total[term[order][new]] += np.add.reduceat(y[row[order]], new, axis=0)
+
+
 def places(a: np.ndarray) -> dict[int, int]:
     """For each word of ``a`` its places, as bits."""
     where: dict[int, int] = {}
@@ -162,8 +183,41 @@ def _candidates(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, b
         yield item, at - item * blocks
 
 
+def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks: int):
+    """(item x blocks + first block, cosine) of all windows near an item in the latent space.
+
+    A window's vector is a difference of running sums over blocks. ``LOT`` windows are compared at a time, however long
+    the text.
+    """
+    known = np.flatnonzero(number >= 0)
+    at, term = block[known], number[known]
+    widest = int(index.wider.max(initial=1))
+    some = np.array([len(s) > 0 for s in index.seqs], bool)
+    for a in range(0, blocks, LOT):
+        b = min(blocks, a + LOT + widest)
+        lo, hi = np.searchsorted(at, [a, b])
+        if lo == hi:
+            continue
+        sums = np.zeros((b - a + 1, index.basis.shape[1]), np.float32)
+        own = at[lo:hi] - a
+        new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        sums[own[new] + 1] = np.add.reduceat(index.basis[term[lo:hi]], new, axis=0)
+        run = np.cumsum(sums, axis=0, dtype=np.float64)
+        for size in np.unique(np.concatenate([index.sizes, index.wider])):
+            mine = np.flatnonzero(((index.sizes == size) | (index.wider == size)) & some)
+            n = min(LOT, b - a - size + 1)
+            if not len(mine) or n <= 0:
+                continue
+            window = (run[size : size + n] - run[:n]).astype(np.float32)
+            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+            full = np.flatnonzero(norm > 1e-6)
+            near = window[full] @ index.vectors[mine].T
+            i, j = np.nonzero(near >= COSINE * norm[full][:, None])
+            yield mine[j] * blocks + a + full[i], near[i, j] / norm[full[i]]
+
+
 def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
-    """(text, item, share, cosine, answered) for the windows that pass the checks."""
+    """(text, item, share, cosine, answered) for the windows that are near an item and pass the checks."""
     h, number = _numbers(index.terms, words)
     if not len(h) or not len(index.terms):
         return []
@@ -173,12 +227,23 @@ def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
     start = np.cumsum(per + room) - per
     text = words.texts()
     block = start[text] + (np.arange(len(h)) - words.first[:-1][text]) // STEP
+    blocks = int(start[-1] + per[-1] + room)
+    none = [(np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    key, cosine = (np.concatenate(x) for x in zip(*none, *_near(index, number, block, blocks), strict=True))
+    if not len(key):
+        return []
+    order = np.lexsort((-cosine, key))
+    key, cosine = key[order], cosine[order]
+    key, first = np.unique(key, return_index=True)
+    cosine = cosine[first]
     best: dict[tuple[int, int], tuple] = {}
     known_places: dict[int, dict[int, int]] = {}
-    for items, ats in _candidates(index, number, block, int(start[-1] + per[-1] + room)):
+    # Of the windows near an item, those that hold too few of its words need no table.
+    for items, ats in _candidates(index, number, block, blocks):
+        held = np.minimum(np.searchsorted(key, items * blocks + ats), len(key) - 1)
         owner = np.searchsorted(start, ats, side="right") - 1
-        inside = (owner >= 0) & (ats < start[owner] + per[owner])
-        for item, at, t in zip(items[inside].tolist(), ats[inside].tolist(), owner[inside].tolist(), strict=True):
+        good = (key[held] == items * blocks + ats) & (owner >= 0) & (ats < start[owner] + per[owner])
+        for item, at, t, near in zip(items[good].tolist(), ats[good].tolist(), owner[good].tolist(), cosine[held[good]].tolist(), strict=True):
             a = int(words.first[t] + (at - start[t]) * STEP)
             seq = index.seqs[item]
             piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + (index.wider[item] + 1) * STEP)]
@@ -190,99 +255,77 @@ def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
             answer = index.answers[item]
             answered = len(answer) > 0 and lcs(answer, piece) == len(answer)
             if share >= SURE or answered:
-                found = (share, _cosine(index, number[a : min(words.first[t + 1], a + index.sizes[item] * STEP)], item), answered)
-                best[t, item] = max(best.get((t, item), found), found)
+                best[t, item] = max(best.get((t, item), (share, near, answered)), (share, near, answered))
     return [(t, item, *v) for (t, item), v in best.items()]
 
 
-def _cosine(index: SimpleNamespace, number: np.ndarray, item: int) -> float:
-    """Cosine of a window and an item in the latent space; 0 if the window holds no weighted word."""
-    window = index.basis[number[number >= 0]].sum(0)
-    return float(window @ index.vectors[item] / max(np.linalg.norm(window), 1e-9))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS, rank: int = RANK) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS, rank: int | None = None) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, cosine, lcs_share, answered.
 
-    Words of the items span the term space. Over all passages (``PASSAGE`` words each) of all documents: document
-    frequencies, then one product of the TF-IDF matrix and its transpose with a random matrix, whose orthonormal range is
-    the latent space; tasks send partial sums only. Every window of every document, of about an item's length and
-    ``STEP`` words apart, counts as near an item if it holds enough of its words (``_set_posts``): a bound that no window
-    that passes the check stays under. Then the longest common subsequence decides: ``SURE`` of the item's words, or
-    ``LIKELY`` of them and its last sentence as the answer. This takes edited and shortened items as well as copies;
-    ``cosine`` tells how near the window is in the latent space and decides nothing. Items are taken ``items_per_pass``
-    at a time, so what is broadcast stays bounded; documents are never shuffled.
+    Words of the items span the term space. One scan over all passages (``PASSAGE`` words each) of all documents takes document
+    frequencies and the product of the incidence matrix and its transpose with a random matrix; weighted by TF-IDF, its
+    orthonormal range is the latent space, whose rank grows with the items' terms (``RANKS``). Tasks send partial sums only.
+    Every window of every document, of about an item's length and ``STEP`` words apart, is compared with the items there, and
+    is a candidate from a cosine of ``COSINE`` on. Candidates that hold too few of the item's words to pass are dropped by
+    an exact bound (``_set_posts``); then the longest common subsequence decides: ``SURE`` of the item's words, or ``LIKELY``
+    of them and its last sentence as the answer. Items are taken ``items_per_pass`` at a time, so what is broadcast stays
+    bounded; documents are never shuffled.
 
     Null and empty texts hold nothing; null or empty items are found nowhere. Rows with the same doc_id are searched
-    one by one and give one row per item, the best. A null doc_id is kept as a key. No items or documents: no rows.
+    one by one and give one row per item, the best; rows of one item_id are searched for one by one as well. A null doc_id or
+    item_id is kept as a key. No items or documents: no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     parts = max(1, -(-items.count() // items_per_pass))
     found = None
     for p in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toPandas().sort_values(["item_id", "text"])
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == p).toArrow()
         one = _pass(docs, make_index(own), rank)
         found = one if found is None else found.union(one)
     keys = [F.max(F.struct("lcs_share", "cosine", "answered")).alias("b")]
     return found.groupBy("doc_id", "item_id").agg(*keys).select("doc_id", "item_id", "b.cosine", "b.lcs_share", "b.answered")
 
 
-def _pass(docs: DataFrame, index: SimpleNamespace, rank: int) -> DataFrame:
+def _pass(docs: DataFrame, index: SimpleNamespace, rank: int | None) -> DataFrame:
     context = docs.sparkSession.sparkContext
     texts = docs.select("text")
+    n_terms = len(index.terms)
+    rank = rank or min(max(n_terms // TERMS_PER_RANK, RANKS[0]), RANKS[1])
     shared = context.broadcast(index)
 
-    def frequencies(batches):
+    def scan(batches):
         index = shared.value
-        total, passages = np.zeros(len(index.terms), np.int64), 0
-        for batch in batches:
-            for part in slices(batch):
-                words = words_of(part)
-                _, term, n = _passages(words, _numbers(index.terms, words)[1])
-                total += np.bincount(term, minlength=len(total))
-                passages += n
-        full = np.flatnonzero(total)
-        term = np.concatenate([full, [-1]])
-        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(np.concatenate([total[full], [passages]]))], names=["term", "n"])
-
-    counts = texts.mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(len(index.terms) + 1)
-    df[counts["term"].to_numpy()] = counts["n"].to_numpy()
-    index.idf = _idf(df[:-1], int(df[-1]))
-    _set_posts(index, df[:-1])
-    weighted = context.broadcast(index)
-    probe = np.random.default_rng(0).normal(size=(len(index.terms), rank)).astype(np.float32) * index.idf[:, None]
-
-    def ranges(batches):
-        index = weighted.value
-        total = np.zeros((len(index.terms), rank), np.float32)
+        probe = np.random.default_rng(0).normal(size=(n_terms, rank)).astype(np.float32)
+        total, df, passages = np.zeros((n_terms, rank)), np.zeros(n_terms, np.int64), 0
         for batch in batches:
             for part in slices(batch):
                 words = words_of(part)
                 passage, term, n = _passages(words, _numbers(index.terms, words)[1])
-                if not len(term):
-                    continue
-                new = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-                y = np.add.reduceat(probe[term], new, axis=0)
-                row = np.cumsum(np.concatenate([[0], (passage[1:] != passage[:-1]).astype(np.int64)]))
-                order = np.argsort(term, kind="stable")
-                new = np.flatnonzero(np.concatenate([[True], np.diff(term[order]) != 0]))
-                total[term[order][new]] += np.add.reduceat(y[row[order]], new, axis=0)
-        full = np.flatnonzero(np.abs(total).sum(1))
-        rows = pa.array([total[t].tobytes() for t in full], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), rows], names=["term", "row"])
+                df += np.bincount(term, minlength=n_terms)
+                passages += n
+                _times_itself(passage, term, n, probe, total)
+        full = np.flatnonzero(df)
+        rows = [total[t].astype(np.float32).tobytes() for t in full] + [b""]
+        counts = pa.array(np.append(df[full], passages), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1), pa.int64()), counts, pa.array(rows, pa.binary())], names=["term", "n", "row"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = np.frombuffer(b"".join(pdf["row"]), np.float32).reshape(len(pdf), rank)
-        return pd.DataFrame({"term": pdf["term"].iloc[:1], "row": [rows.sum(0, dtype=np.float64).astype(np.float32).tobytes()]})
-
-    parts = texts.mapInArrow(ranges, "term long, row binary")
-    sums = parts.groupBy("term").applyInPandas(add, "term long, row binary").toPandas()
-    product = np.zeros((len(index.terms), rank), np.float32)
-    for t, row in zip(sums["term"], sums["row"], strict=True):
-        product[t] = np.frombuffer(row, np.float32) * index.idf[t]
-    _set_basis(index, product)
+        width = 0 if pdf["term"].iloc[0] < 0 else rank
+        rows = np.frombuffer(b"".join(pdf["row"]), np.float32).reshape(len(pdf), width)
+        return pd.DataFrame({"term": pdf["term"].iloc[:1], "n": [pdf["n"].sum()], "row": [rows.sum(0, dtype=np.float64).astype(np.float32).tobytes()]})
+
+    kind = "term long, n long, row binary"
+    sums = texts.mapInArrow(scan, kind).groupBy("term").applyInPandas(add, kind).toArrow()
+    df, product, passages = np.zeros(n_terms), np.zeros((n_terms, rank), np.float32), 0
+    for t, n, row in zip(*(sums[c].to_pylist() for c in ("term", "n", "row")), strict=True):
+        if t < 0:
+            passages = n
+        else:
+            df[t], product[t] = n, np.frombuffer(row, np.float32)
+    index.idf = _idf(df, passages)
+    _set_posts(index, df)
+    _set_basis(index, product * index.idf[:, None])
     ready = context.broadcast(index)
 
     def search(batches):
@@ -290,17 +333,10 @@ def _pass(docs: DataFrame, index: SimpleNamespace, rank: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 hits = _search(index, words_of(part))
-                t = [x[0] for x in hits]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(t, pa.int64())),
-                        pa.array(index.ids[[x[1] for x in hits]].astype(np.int64) if hits else [], pa.int64()),
-                        pa.array([x[3] for x in hits], pa.float64()),
-                        pa.array([x[2] for x in hits], pa.float64()),
-                        pa.array([bool(x[4]) for x in hits], pa.bool_()),
-                    ],
-                    names=["doc_id", "item_id", "cosine", "lcs_share", "answered"],
-                )
+                t, item = (pa.array([x[k] for x in hits], pa.int64()) for k in (0, 1))
+                checks = [pa.array([x[k] for x in hits], pa.float64()) for k in (3, 2)] + [pa.array([bool(x[4]) for x in hits], pa.bool_())]
+                columns = [part.column(0).take(t), index.ids.take(item), *checks]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "cosine", "lcs_share", "answered"])
 
     schema = "doc_id long, item_id long, cosine double, lcs_share double, answered boolean"
     return stage(docs.mapInArrow(search, schema), "leaks")
