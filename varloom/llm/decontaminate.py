@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from varloom.llm.words import Words, raw, slices, split, words_of
 from varloom.session import stage
 
-RANKS = (96, 256)  # of the latent space: one for ``TERMS_PER_RANK`` terms of the items, inside these bounds
-TERMS_PER_RANK = 16
-COSINE = 0.4  # of a window and an item in the latent space; kept words give about their share, and ``LIKELY`` is 0.5
+RANKS = (32, 256)  # of the latent space: one for ``TERMS_PER_RANK`` terms of the items, inside these bounds
+TERMS_PER_RANK = 96
+COSINE = 0.45  # of a window and an item in the latent space; kept words give about their share, and ``LIKELY`` is 0.5
 STEP = 8  # words between the starts of two windows
 PASSAGE = 32  # words of a passage that counts as one row of the TF-IDF matrix
 SURE = 0.7  # shared subsequence, as a share of the item's words
@@ -228,34 +228,35 @@ def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
     text = words.texts()
     block = start[text] + (np.arange(len(h)) - words.first[:-1][text]) // STEP
     blocks = int(start[-1] + per[-1] + room)
-    none = [(np.zeros(0, np.int64), np.zeros(0, np.float32))]
-    key, cosine = (np.concatenate(x) for x in zip(*none, *_near(index, number, block, blocks), strict=True))
-    if not len(key):
+    # Of the windows near an item, those that hold too few of its words need no table.
+    held = [items * blocks + ats for items, ats in _candidates(index, number, block, blocks)]
+    held = np.unique(np.concatenate([np.zeros(0, np.int64), *held]))
+    if not len(held):
         return []
-    order = np.lexsort((-cosine, key))
-    key, cosine = key[order], cosine[order]
-    key, first = np.unique(key, return_index=True)
-    cosine = cosine[first]
+    cosine = np.full(len(held), -1.0)
+    for key, near in _near(index, number, block, blocks):
+        at = np.minimum(np.searchsorted(held, key), len(held) - 1)
+        same = held[at] == key
+        np.maximum.at(cosine, at[same], near[same])
+    items, ats = np.divmod(held[cosine >= 0], blocks)
+    cosine = cosine[cosine >= 0]
+    owner = np.searchsorted(start, ats, side="right") - 1
+    good = (owner >= 0) & (ats < start[owner] + per[owner])
     best: dict[tuple[int, int], tuple] = {}
     known_places: dict[int, dict[int, int]] = {}
-    # Of the windows near an item, those that hold too few of its words need no table.
-    for items, ats in _candidates(index, number, block, blocks):
-        held = np.minimum(np.searchsorted(key, items * blocks + ats), len(key) - 1)
-        owner = np.searchsorted(start, ats, side="right") - 1
-        good = (key[held] == items * blocks + ats) & (owner >= 0) & (ats < start[owner] + per[owner])
-        for item, at, t, near in zip(items[good].tolist(), ats[good].tolist(), owner[good].tolist(), cosine[held[good]].tolist(), strict=True):
-            a = int(words.first[t] + (at - start[t]) * STEP)
-            seq = index.seqs[item]
-            piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + (index.wider[item] + 1) * STEP)]
-            if item not in known_places:
-                known_places[item] = places(seq)
-            share = lcs(seq, piece, known_places[item], LIKELY * len(seq)) / len(seq)
-            if share < LIKELY:
-                continue
-            answer = index.answers[item]
-            answered = len(answer) > 0 and lcs(answer, piece) == len(answer)
-            if share >= SURE or answered:
-                best[t, item] = max(best.get((t, item), (share, near, answered)), (share, near, answered))
+    for item, at, t, near in zip(items[good].tolist(), ats[good].tolist(), owner[good].tolist(), cosine[good].tolist(), strict=True):
+        a = int(words.first[t] + (at - start[t]) * STEP)
+        seq = index.seqs[item]
+        piece = h[max(words.first[t], a - STEP) : min(words.first[t + 1], a + (index.wider[item] + 1) * STEP)]
+        if item not in known_places:
+            known_places[item] = places(seq)
+        share = lcs(seq, piece, known_places[item], LIKELY * len(seq)) / len(seq)
+        if share < LIKELY:
+            continue
+        answer = index.answers[item]
+        answered = len(answer) > 0 and lcs(answer, piece) == len(answer)
+        if share >= SURE or answered:
+            best[t, item] = max(best.get((t, item), (share, near, answered)), (share, near, answered))
     return [(t, item, *v) for (t, item), v in best.items()]
 
 
