@@ -7,7 +7,10 @@ No row per pair is ever made: a block returns links that connect what belongs to
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,43 @@ def local_links(near: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(k)) for i, k in enumerate(label) if i != k]
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches cut at group borders, with where each group begins and the end; rows come sorted by the first ``keys`` columns.
+
+    A group that goes on in the next batch is held back, so a caller sees many whole groups at a time.
+    """
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = False
+        for k in range(keys):
+            values = batch.column(k).to_numpy(zero_copy_only=False)
+            new[1:] |= values[1:] != values[:-1]
+        begin = np.flatnonzero(new)
+        if len(begin) > 1:
+            yield batch.slice(0, int(begin[-1])), begin
+        held = batch.slice(int(begin[-1]))
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
+
+
+def stacked_labels(near: np.ndarray) -> np.ndarray:
+    """For each of a stack of symmetric matrices of links: every row's first connected row."""
+    n = near.shape[1]
+    label = np.broadcast_to(np.arange(n), near.shape[:2])
+    near = near | np.eye(n, dtype=bool)
+    while True:
+        new = np.where(near, label[:, None, :], n).min(axis=2)
+        new = np.take_along_axis(new, new, axis=1)
+        if (new == label).all():
+            return new
+        label = new
+
+
 def shared_counts(values: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, exactly, by products of bounded slabs of the incidence matrix."""
     n = len(values)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom.llm import shingles as S
-from varloom.llm.blocks import chunked, components, local_links, shared_counts
+from varloom.llm.blocks import chunked, components, local_links, shared_counts, stacked_labels, whole_groups
 from varloom.llm.words import binary_rows, list_column, signed, slices, words_of
 from varloom.session import stage
 
@@ -19,6 +21,7 @@ BAND_ROWS = 4
 MARGIN = 0.18
 BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 400_000
+PAIRS = 1 << 18  # pairs of signatures compared together
 
 
 def signature_rows(docs: DataFrame, size: int, positions: int, band_rows: int) -> DataFrame:
@@ -72,18 +75,29 @@ def candidate_links(sets: DataFrame, threshold: float) -> DataFrame:
     dealt = blocks.join(sets.select("doc_id", "signature"), "doc_id").select("bucket", "lo", "hi", "doc_id", "signature")
     least = threshold - MARGIN
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["doc_id"].to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        sig = np.frombuffer(b"".join(pdf["signature"].iloc[order]), np.uint16).reshape(len(ids), -1)
-        agree = np.zeros((len(ids), len(ids)), np.int32)
-        for k in range(sig.shape[1]):
-            agree += sig[:, k][:, None] == sig[:, k][None, :]
-        found = local_links(agree >= least * sig.shape[1])
-        return pd.DataFrame([(ids[i], ids[k]) for i, k in found], columns=["a", "b"], dtype=np.int64)
-
-    return dealt.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, begin in whole_groups(batches, 3):
+            ids = batch.column(3).to_numpy()
+            sizes = np.diff(begin)
+            width = len(batch.column(4)[0].as_py()) // 2
+            signature = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(len(ids), width)
+            for n in np.unique(sizes[sizes > 1]).tolist():  # buckets of one size together
+                starts = begin[:-1][sizes == n]
+                step = max(1, PAIRS // (n * n))
+                for k in range(0, len(starts), step):
+                    rows = starts[k : k + step, None] + np.arange(n)
+                    sig = np.ascontiguousarray(signature[rows].transpose(2, 0, 1))
+                    agree = np.zeros((len(rows), n, n), np.int16)
+                    for one in sig:
+                        agree += one[:, :, None] == one[:, None, :]
+                    label = stacked_labels(agree >= least * width)
+                    g, i = np.nonzero(label != np.arange(n))
+                    pairs = [pa.array(ids[rows[g, i]]), pa.array(ids[rows[g, label[g, i]]])]
+                    yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+
+    # Sorted, so that a task walks over whole batches of buckets; the smallest doc_id of a bucket comes first.
+    sorted_blocks = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "doc_id")
+    return sorted_blocks.mapInArrow(compare, "a long, b long")
 
 
 def verified_links(docs: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int, size: int) -> DataFrame:
