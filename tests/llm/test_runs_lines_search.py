@@ -342,3 +342,37 @@ def test_dense_and_sparse_products_agree(monkeypatch):
         total = np.zeros((100, 7))
         decontaminate._times_itself(passage, term, 3000, probe, total)
         assert np.allclose(total, whole.T @ (whole @ probe), rtol=1e-4, atol=1e-3)
+
+
+# ---------------------------------------------------------------------------------------------------- groups in batches
+
+
+def test_whole_groups_over_batches():
+    from varloom.llm.blocks import whole_groups
+
+    rng = random.Random(12)
+    rows = sorted((rng.randint(0, 30), rng.randint(0, 2), i) for i in range(400))
+    for size in (1, 3, 7, 400):
+        batches = [pa.RecordBatch.from_pylist([{"k": k, "l": m, "v": v} for k, m, v in rows[i : i + size]]) for i in range(0, 400, size)]
+        batches.insert(1, batches[0].slice(0, 0))
+        groups = []
+        for batch, begin in whole_groups(iter(batches), 2):
+            assert begin[-1] == batch.num_rows or len(begin) > 1
+            found = [tuple(r.values()) for r in batch.to_pylist()]
+            edges = begin.tolist() if begin[-1] == batch.num_rows else [*begin.tolist(), batch.num_rows]
+            groups += [found[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        want = defaultdict(list)
+        for r in rows:
+            want[r[:2]].append(r)
+        assert groups == list(want.values())
+    assert list(whole_groups(iter([]), 2)) == []
+
+
+def test_stacked_labels_are_components():
+    from varloom.llm.blocks import local_links, stacked_labels
+
+    rng = np.random.default_rng(3)
+    near = rng.random((40, 9, 9)) < 0.12
+    near |= near.transpose(0, 2, 1)
+    for matrix, label in zip(near, stacked_labels(near)):
+        assert [(i, int(k)) for i, k in enumerate(label) if i != k] == local_links(matrix)
