@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom import schema as S
@@ -81,21 +80,15 @@ def global_variants(sources: Sequence[DataFrame], **tables) -> DataFrame:
 
 
 def checked_stage(variants: DataFrame, floor: int, **tables) -> DataFrame:
-    """Distinct variants annotated and staged, after the check that annotation lost none of them.
+    """Staged distinct variants annotated and staged, after the check that annotation lost none of them.
 
-    The variants are counted by an observation on the very write that stages the result, so the sources are read once; only
-    the keys of the staged rows are read for the other side. A stage that Spark runs again after a lost executor can be
-    observed twice, so a failed check is repeated on an exact count before it raises.
+    Both sides are counted on what has been written, so the sources are read once. (An observation on the write would save
+    that first file, but a session that has used one can no longer send some ``pyspark.ml`` models to its tasks.)
     """
-    seen = Observation("variants-" + uuid.uuid4().hex)
-    counted = variants.observe(seen, F.count(F.lit(1)).alias("n"))
-    built = stage(annotate_variants(counted, **tables), "global-variants")
-    following = built.select(*KEY).distinct().count()
-    previous = seen.get["n"]
-    if following < previous or previous < floor:
-        lost = check_not_shrunk(variants, built.select(*KEY).distinct(), floor).first()
-        if lost is not None:
-            raise ValueError(f"annotation left {lost['n_following']} of {lost['n_previous']} variants (at least {floor} expected)")
+    built = stage(annotate_variants(variants, **tables), "global-variants")
+    lost = check_not_shrunk(variants, built.select(*KEY).distinct(), floor).first()
+    if lost is not None:
+        raise ValueError(f"annotation left {lost['n_following']} of {lost['n_previous']} variants (at least {floor} expected)")
     return built
 
 
@@ -106,7 +99,7 @@ def write_global_variants(
 
     The annotated rows are staged, so the check and the write read one result. A failed check raises and writes nothing.
     """
-    built = checked_stage(union_distinct_variants(*sources), floor, **tables)
+    built = checked_stage(stage(union_distinct_variants(*sources), "variants"), floor, **tables)
     insert_partitioned(built, path, mode=mode)
     return read_variants(built.sparkSession, path, built.schema)
 
@@ -130,7 +123,7 @@ def read_global(spark, path: str, schema=None) -> DataFrame:
 def create_global(sources: Sequence[DataFrame], path: str, *, floor: int = 1000, per_segment: int = KEYS_PER_SEGMENT, **tables) -> DataFrame:
     """A new stored global table from the first sources; returns its rows."""
     spark = sources[0].sparkSession
-    built = checked_stage(union_distinct_variants(*sources), floor, **tables)
+    built = checked_stage(stage(union_distinct_variants(*sources), "variants"), floor, **tables)
     build_filter(built.select(*KEY).distinct(), KEY, per_segment).write.mode("overwrite").parquet(f"{path}/filter")
     insert_partitioned(built, f"{path}/rows", mode="overwrite")
     return read_global(spark, path, built.schema)
