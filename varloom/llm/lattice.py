@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.blocks import chunked, components, local_links
+from varloom.llm.blocks import chunked, components, local_links, stacked_labels, whole_groups
 from varloom.llm.words import U64, binary_rows, list_column, mix, seeded, signed
 from varloom.session import stage
 
@@ -19,6 +21,7 @@ POINTS = 2  # lattice points that make up a cell
 SCALE = 2.0
 PROBES = 3  # neighbouring cells tried for each lattice point
 BLOCK_MEMBERS = 512
+PAIRS = 1 << 18  # pairs of vectors compared together
 
 
 def roots() -> np.ndarray:
@@ -139,12 +142,25 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, tables: int = TABLES)
     blocks = chunked(members.withColumnRenamed("vec_id", "member"), "cell", "chunks")
     dealt = blocks.join(reps.select(F.col("vec_id").alias("member"), "unit"), "member").select("cell", "lo", "hi", "member", "unit")
 
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("member")
-        ids, x = pdf["member"].to_numpy(), _matrix(pdf)
-        return pd.DataFrame([(ids[i], ids[k]) for i, k in local_links(x @ x.T >= cosine)], columns=["a", "b"], dtype=np.int64)
-
-    found = stage(dealt.groupBy("cell", "lo", "hi").applyInPandas(meet, "a long, b long").distinct(), "vec-candidates")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, begin in whole_groups(batches, 3):
+            ids, units, sizes = batch.column(3).to_numpy(), batch.column(4), np.diff(begin)
+            width = pc.binary_length(units).to_numpy()[begin[:-1]] // 8
+            for n, w in np.unique(np.stack([sizes, width], 1)[sizes > 1], axis=0).tolist():  # cells of one size together
+                starts = begin[:-1][(sizes == n) & (width == w)]
+                step = max(1, min(PAIRS // (n * n), 16 * PAIRS // (n * max(w, 1))))
+                for k in range(0, len(starts), step):
+                    rows = starts[k : k + step, None] + np.arange(n)
+                    x = np.frombuffer(b"".join(units.take(pa.array(rows.ravel())).to_pylist()), np.float64).reshape(*rows.shape, w)
+                    # A little under the bound: the blocks below decide on their own.
+                    label = stacked_labels(x @ x.transpose(0, 2, 1) >= cosine - 1e-9)
+                    g, i = np.nonzero(label != np.arange(n))
+                    pairs = [pa.array(ids[rows[g, i]]), pa.array(ids[rows[g, label[g, i]]])]
+                    yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+
+    # Sorted, so that a task walks over whole batches of cells.
+    dealt = dealt.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "member")
+    found = stage(dealt.mapInArrow(meet, "a long, b long").distinct(), "vec-candidates")
     groups = components(found, "vec-groups")
     sizes = groups.groupBy("component_id").agg(F.ceil(F.count("*") / BLOCK_MEMBERS).alias("chunks"))
     blocks = chunked(groups.join(sizes, "component_id"), "component_id", "chunks")
