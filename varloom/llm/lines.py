@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.words import U64, mix, powers, seeded, signed, slices
@@ -161,6 +161,31 @@ def within_one(a: str, b: str) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
+def shared_keys(spelled: DataFrame) -> DataFrame:
+    """Keys of two lines or more. A line has each of its keys in one fresh row, and so only the keys are counted."""
+    return spelled.where("fresh").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+
+
+def meetings(spelled: DataFrame) -> DataFrame:
+    """h, to (place, h): each variant with the earliest of its bucket, and with the whole line that equals it.
+
+    ``spelled`` has the columns of ``variants`` and ``place``. Distinct lines of one key differ in one character, so a key has
+    few of them; one shuffle by key serves both kinds.
+    """
+    member = F.struct("place", "h")
+    lead = F.first(F.struct("gap", "place", "h")).over(Window.partitionBy("key").orderBy("gap", "place", "h"))
+    best = F.first(member).over(Window.partitionBy("key", "gap").orderBy("place", "h"))
+    met = spelled.select("h", "gap", "fresh", "place", member.alias("member"), lead.alias("own"), best.alias("best")).where("gap >= 0")
+    near = F.col("fresh") & (F.col("own.gap") == -1)
+    pair = lambda when, h, to: F.when(when, F.struct(F.col(h).alias("h"), to.alias("to")))
+    pairs = F.array(
+        pair(F.col("best.h") != F.col("h"), "h", F.col("best")),
+        pair(near & (F.col("own.place") < F.col("place")), "h", F.struct(F.col("own.place").alias("place"), F.col("own.h").alias("h"))),
+        pair(near & (F.col("place") < F.col("own.place")), "own.h", F.col("member")),
+    )
+    return met.select(F.inline(F.array_compact(pairs)))
+
+
 def duplicate_lines(docs: DataFrame) -> DataFrame:
     """Lines to remove: doc_id, line, kept_doc_id, kept_line, distance (0 or 1).
 
@@ -170,8 +195,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     earliest found.
 
     Equal lines are brought down to one by sums with partial sums. Only lines that share an anchor with another are
-    spelled into variants; lines meet on equal variant hashes, each with the earliest of its bucket, so a bucket gives a
-    row per member and no pairs; the edit distance of what met is checked on the texts.
+    spelled into variants, and only variants whose hash another line has too go on; lines meet on these, each with the
+    earliest of its bucket, so a bucket gives a row per member and no pairs; the edit distance of what met is checked on the
+    texts.
 
     Null and empty texts have no lines. Rows that repeat a doc_id stand at the same positions and do not remove each
     other. Null doc_ids are left out. Empty input gives no rows; other columns are ignored.
@@ -184,17 +210,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     shared = anchors.groupBy("anchor").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("anchor")
     wanted = stage(anchors.join(shared, "anchor", "left_semi").select("h").distinct(), "line-wanted")
     texts = stage(_texts(docs, wanted), "line-texts")
-    spelled = stage(variants(texts).join(first.select("h", "place"), "h"), "line-variants")
-
-    member = F.struct("place", "h")
-    swaps = spelled.where("gap >= 0")
-    best = swaps.groupBy("key", "gap").agg(F.min(member).alias("to"), F.count("*").alias("n")).where("n > 1")
-    swapped = swaps.join(best.select("key", "gap", "to"), ["key", "gap"]).where("to.h <> h").select("h", "to")
-    whole = spelled.where("gap = -1").select("key", F.col("h").alias("own"), F.col("place").alias("own_place"))
-    gaps = swaps.where("fresh").join(whole, "key").select("h", "place", "own", "own_place")
-    added = gaps.where("own_place < place").select("h", F.struct(F.col("own_place").alias("place"), F.col("own").alias("h")).alias("to"))
-    missing = gaps.where("place < own_place").select(F.col("own").alias("h"), member.alias("to"))
-    pairs = swapped.union(added).union(missing).groupBy("h").agg(F.min("to").alias("to"))
+    spelled = stage(variants(texts), "line-variants")
+    shared = stage(shared_keys(spelled), "line-shared")
+    pairs = meetings(spelled.join(shared, "key", "left_semi").join(first.select("h", "place"), "h")).groupBy("h").agg(F.min("to").alias("to"))
     pairs = pairs.select("h", F.col("to.h").alias("to_h"), F.col("to.place").alias("to_place"))
     both = pairs.join(texts, "h").join(texts.select(F.col("h").alias("to_h"), F.col("text").alias("to_text")), "to_h")
 
