@@ -25,7 +25,7 @@ NEED = 0.3  # of the words that must be met, the share that must be met among th
 HITS = 1 << 21  # meetings of a word and an item that are laid out at a time
 ITEMS = 5_000  # items searched for in one pass
 DENSE = 4_096  # terms up to which passages are multiplied as dense rows
-LOT = 16_384  # blocks whose windows are compared together
+LOT = 2_048  # blocks whose windows are compared together
 
 
 def make_index(items: pa.Table) -> SimpleNamespace:
@@ -183,16 +183,20 @@ def _candidates(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, b
         yield item, at - item * blocks
 
 
-def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks: int):
-    """(item x blocks + first block, cosine) of all windows near an item in the latent space.
+def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks: int, held: np.ndarray):
+    """Places in ``held`` and cosines of the windows near an item in the latent space.
 
-    A window's vector is a difference of running sums over blocks. ``LOT`` windows are compared at a time, however long
-    the text.
+    A window's vector is a difference of running sums over blocks. ``LOT`` windows are compared with all items at a time,
+    however long the text; of those near an item, the ones in ``held`` (sorted item x blocks + first block) are given.
     """
     known = np.flatnonzero(number >= 0)
     at, term = block[known], number[known]
     widest = int(index.wider.max(initial=1))
     some = np.array([len(s) > 0 for s in index.seqs], bool)
+    item, first = np.divmod(held, blocks)
+    order = np.argsort(first, kind="stable")
+    lots = np.searchsorted(first[order], np.arange(0, blocks + LOT, LOT))
+    column = np.full(len(index.seqs), -1)
     for a in range(0, blocks, LOT):
         b = min(blocks, a + LOT + widest)
         lo, hi = np.searchsorted(at, [a, b])
@@ -203,6 +207,7 @@ def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks:
         new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         sums[own[new] + 1] = np.add.reduceat(index.basis[term[lo:hi]], new, axis=0)
         run = np.cumsum(sums, axis=0, dtype=np.float64)
+        wanted = order[lots[a // LOT] : lots[a // LOT + 1]]
         for size in np.unique(np.concatenate([index.sizes, index.wider])):
             mine = np.flatnonzero(((index.sizes == size) | (index.wider == size)) & some)
             n = min(LOT, b - a - size + 1)
@@ -210,10 +215,16 @@ def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks:
                 continue
             window = (run[size : size + n] - run[:n]).astype(np.float32)
             norm = np.sqrt(np.einsum("ij,ij->i", window, window))
-            full = np.flatnonzero(norm > 1e-6)
-            near = window[full] @ index.vectors[mine].T
-            i, j = np.nonzero(near >= COSINE * norm[full][:, None])
-            yield mine[j] * blocks + a + full[i], near[i, j] / norm[full[i]]
+            window /= np.where(norm > 1e-6, norm, np.inf)[:, None]
+            near = window @ index.vectors[mine].T
+            column[:] = -1
+            column[mine] = np.arange(len(mine))
+            which = wanted[(column[item[wanted]] >= 0) & (first[wanted] - a < n)]
+            kept = np.zeros(near.shape, bool)
+            kept[first[which] - a, column[item[which]]] = True
+            kept &= near >= COSINE
+            i, j = np.divmod(np.flatnonzero(kept), len(mine))
+            yield np.searchsorted(held, mine[j] * blocks + a + i), near[i, j]
 
 
 def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
@@ -234,10 +245,8 @@ def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
     if not len(held):
         return []
     cosine = np.full(len(held), -1.0)
-    for key, near in _near(index, number, block, blocks):
-        at = np.minimum(np.searchsorted(held, key), len(held) - 1)
-        same = held[at] == key
-        np.maximum.at(cosine, at[same], near[same])
+    for at, near in _near(index, number, block, blocks, held):
+        cosine[at] = np.maximum(cosine[at], near)
     items, ats = np.divmod(held[cosine >= 0], blocks)
     cosine = cosine[cosine >= 0]
     owner = np.searchsorted(start, ats, side="right") - 1
