@@ -19,6 +19,8 @@ WIDTH = 16
 RECENT = 16  # words in the long part of the context
 NOISE = 48  # noise draws shared by the tokens of a batch
 BATCH = 1024
+SCORED = 512  # tokens scored at a time
+SAFE = 40.0  # outputs up to this need no shift before the exponential
 RATE = 0.15
 FREQUENT = 400_000  # words whose counts travel with every task
 SMOOTH = 0.1
@@ -75,10 +77,15 @@ def _ids(value: np.ndarray, kind: np.ndarray, model: SimpleNamespace) -> np.ndar
     return np.where(model.words[at] == value, at, len(model.words) + kind)
 
 
-def _context(ids: np.ndarray, first: np.ndarray, model: SimpleNamespace, start: int, stop: int):
+def _begins(first: np.ndarray) -> np.ndarray:
+    """The first token of each token's text."""
+    return np.repeat(first[:-1], np.diff(first))
+
+
+def _context(ids: np.ndarray, begins: np.ndarray, model: SimpleNamespace, start: int, stop: int):
     """Context vectors of tokens start to stop, with their parts: last word, word before it, mean of recent words."""
     i = np.arange(start, stop)
-    begin = np.repeat(first[:-1], np.diff(first))[start:stop]
+    begin = begins[start:stop]
     r, end = model.inputs, model.end
     one = np.where(i - 1 >= begin, ids[i - 1], end)
     two = np.where(i - 2 >= begin, ids[i - 2], end)
@@ -88,18 +95,20 @@ def _context(ids: np.ndarray, first: np.ndarray, model: SimpleNamespace, start:
     since = np.maximum(begin, i - RECENT)
     count = np.maximum(i - since, 1).astype(np.float32)
     mean = (run[i - low] - run[since - low]) / count[:, None]
-    h = r[one] * model.scale[0] + r[two] * model.scale[1] + mean * model.scale[2]
-    return h, one, two, mean, since, count
+    last, before = r[one], r[two]
+    h = last * model.scale[0] + before * model.scale[1] + mean * model.scale[2]
+    return h, one, two, last, before, mean, since, count
 
 
-def _step(ids, first, start, stop, model, memory, rng) -> None:
+def _step(ids, begins, start, stop, model, memory, rng) -> None:
     """One update from a batch of tokens: each against shared noise words drawn by frequency."""
-    h, one, two, mean, since, count = _context(ids, first, model, start, stop)
+    h, one, two, last, before, mean, since, count = _context(ids, begins, model, start, stop)
     target = ids[start:stop]
     noise = np.searchsorted(model.heap, rng.random(NOISE)).clip(0, len(model.bias) - 1)
     shift = np.log(NOISE) + model.logp
-    good = (h * model.outputs[target]).sum(1) + model.bias[target] - shift[target]
-    bad = h @ model.outputs[noise].T + (model.bias - shift)[noise][None, :]
+    own, drawn = model.outputs[target], model.outputs[noise]
+    good = np.einsum("ij,ij->i", h, own) + (model.bias - shift)[target]
+    bad = h @ drawn.T + (model.bias - shift)[noise][None, :]
     eg = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)  # ascent direction of the true words
     eb = (-1 / (1 + np.exp(np.clip(-bad, -30, 30)))).astype(np.float32)
     n, width = len(model.bias), np.arange(WIDTH)
@@ -107,11 +116,10 @@ def _step(ids, first, start, stop, model, memory, rng) -> None:
     def spread(at: np.ndarray, g: np.ndarray) -> np.ndarray:
         return np.bincount((at[:, None] * WIDTH + width).ravel(), weights=g.ravel(), minlength=n * WIDTH).reshape(n, WIDTH)
 
-    gh = eg[:, None] * model.outputs[target] + eb @ model.outputs[noise]
+    gh = eg[:, None] * own + eb @ drawn
     g_out = spread(target, eg[:, None] * h) + spread(noise, eb.T @ h)
     g_bias = np.bincount(target, weights=eg, minlength=n) + np.bincount(noise, weights=eb.sum(0), minlength=n)
-    r = model.inputs
-    g_scale = np.stack([(gh * r[one]).sum(0), (gh * r[two]).sum(0), (gh * mean).sum(0)])
+    g_scale = np.stack([np.einsum("ij,ij->j", gh, x) for x in (last, before, mean)])
     # The mean passes its gradient to all words of its stretch: differences, summed up, give each word its share.
     low = max(0, start - RECENT)
     share = gh * model.scale[2] / count[:, None]
@@ -146,9 +154,9 @@ def _fit(texts: DataFrame, model: SimpleNamespace) -> SimpleNamespace:
         for batch in batches:
             for part in slices(batch):
                 value, kind, first = _tokens(words_of(part))
-                ids = _ids(value, kind, model)
+                ids, begins = _ids(value, kind, model), _begins(first)
                 for start in range(0, len(ids), BATCH):
-                    _step(ids, first, start, min(start + BATCH, len(ids)), model, memory, rng)
+                    _step(ids, begins, start, min(start + BATCH, len(ids)), model, memory, rng)
                 seen += len(ids)
         if seen:
             flat = [getattr(model, name).astype(np.float64) * seen for name in PARTS]
@@ -170,18 +178,26 @@ def _fit(texts: DataFrame, model: SimpleNamespace) -> SimpleNamespace:
 
 
 def _logp(ids: np.ndarray, first: np.ndarray, model: SimpleNamespace) -> np.ndarray:
-    """Normalised log10 probability of each token's output, by products of batches with the output matrix."""
-    out = np.empty(len(ids))
-    for start in range(0, len(ids), 8192):
-        stop = min(start + 8192, len(ids))
-        h = _context(ids, first, model, start, stop)[0]
-        z = h @ model.outputs.T
-        z += model.bias
+    """Normalised log10 probability of each token's output, by products of batches with the output matrix.
+
+    A batch stays in the processor's cache. Its outputs are shifted by their greatest only where some could grow too large
+    for the exponential: none is above the context's length times that of the longest output, and the bias.
+    """
+    begins, out = _begins(first), np.empty(len(ids))
+    table = np.ascontiguousarray(np.vstack([model.outputs.T, model.bias[None, :]]))
+    longest, most = np.linalg.norm(model.outputs, axis=1).max(), np.abs(model.bias).max()
+    for start in range(0, len(ids), SCORED):
+        stop = min(start + SCORED, len(ids))
+        h = np.ones((stop - start, WIDTH + 1), np.float32)
+        h[:, :WIDTH] = _context(ids, begins, model, start, stop)[0]
+        z = h @ table
         own = z[np.arange(stop - start), ids[start:stop]]
-        top = z.max(axis=1, keepdims=True)
-        z -= top
+        far = np.sqrt(np.einsum("ij,ij->i", h[:, :WIDTH], h[:, :WIDTH]).max()) * longest + most > SAFE
+        top = z.max(axis=1) if far else np.float32(0)
+        if far:
+            z -= top[:, None]
         np.exp(z, out=z)
-        out[start:stop] = (own - top[:, 0] - np.log(z.sum(axis=1))) / np.log(10)
+        out[start:stop] = (own - top - np.log(z.sum(axis=1))) / np.log(10)
     return out
 
 
