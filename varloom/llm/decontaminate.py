@@ -215,16 +215,16 @@ def _near(index: SimpleNamespace, number: np.ndarray, block: np.ndarray, blocks:
                 continue
             window = (run[size : size + n] - run[:n]).astype(np.float32)
             norm = np.sqrt(np.einsum("ij,ij->i", window, window))
-            window /= np.where(norm > 1e-6, norm, np.inf)[:, None]
+            norm[norm <= 1e-6] = np.inf
             near = window @ index.vectors[mine].T
             column[:] = -1
             column[mine] = np.arange(len(mine))
             which = wanted[(column[item[wanted]] >= 0) & (first[wanted] - a < n)]
             kept = np.zeros(near.shape, bool)
             kept[first[which] - a, column[item[which]]] = True
-            kept &= near >= COSINE
+            kept &= near >= (np.float32(COSINE) * norm)[:, None]
             i, j = np.divmod(np.flatnonzero(kept), len(mine))
-            yield np.searchsorted(held, mine[j] * blocks + a + i), near[i, j]
+            yield np.searchsorted(held, mine[j] * blocks + a + i), near[i, j] / norm[i]
 
 
 def _search(index: SimpleNamespace, words: Words) -> list[tuple]:
