@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom import schema as S
-from varloom.operators.hints import MAX_BROADCAST_BYTES, row_bytes, with_strategy
+from varloom.operators.hints import MAX_BROADCAST_BYTES, row_bytes, table_bytes, with_strategy
 
 _BIN, _BUILD_BIN, _LO, _HI, _CHROM = "__bin", "__build_bin", "__lo", "__hi", "__chrom"
 
@@ -108,7 +108,12 @@ def interval_allele_join(
 
     A call is binned by the width of its length tier, so a call of a few bases meets only its neighbourhood and one of
     megabases few bins. A known variant is listed once per tier; tier, bin, chromosome and reference allele make the key.
+
+    Spark's size estimate goes by the compressed files and does not see the listing by tier. So without a ``strategy`` the
+    known variants are measured as they are listed: little enough is broadcast, more is joined by shuffle.
     """
+    if strategy is None:
+        strategy = MEASURED_BROADCAST if table_bytes(known) * len(widths) <= MAX_BROADCAST_BYTES else "shuffle_merge"
     kept = calls.columns
     extra = [c for c in known.columns if c not in kept]
     length = F.col("stop") - F.col("start")
@@ -120,7 +125,7 @@ def interval_allele_join(
     tiers = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), _bin(F.col("pos"), w).alias("b")) for i, w in enumerate(widths)]))
     build = known.withColumn("__at", tiers).withColumnRenamed("ref", "__ref")
     build = build.select(F.col("__at.t").alias("__known_tier"), F.col("__at.b").alias(_BUILD_BIN), "__ref", *extra)
-    build = with_strategy(build, strategy)
+    build = F.broadcast(build) if strategy == MEASURED_BROADCAST else with_strategy(build, strategy)
     match = (
         (F.col("chr") == F.col("chrom"))
         & (F.col("ref") == F.col("__ref"))
