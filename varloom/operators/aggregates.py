@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varloom import schema as S
+from varloom.session import stage
 
 
 def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
@@ -128,10 +129,14 @@ def append_subject(panel: DataFrame, subject: str) -> DataFrame:
 
 
 def merge_genotypes(reference: DataFrame, subject: DataFrame, site: Sequence[str] = S.VARIANT_KEY) -> DataFrame:
-    """Both genotype sets, kept to the markers they share."""
-    shared = reference.select(*site).distinct().join(subject.select(*site).distinct(), list(site), "left_semi")
-    both = reference.unionByName(subject.select(*reference.columns))
-    return both.join(shared, list(site), "left_semi").select(*reference.columns)
+    """Both genotype sets, kept to the markers they share.
+
+    The sets are stored together with their origin, so each is computed once; a marker with both origins is shared.
+    """
+    sets = [df.select(*reference.columns, F.lit(i).alias("__set")) for i, df in enumerate((reference, subject))]
+    both = stage(sets[0].unionByName(sets[1]), "genotypes")
+    origins = both.groupBy(*site).agg(F.min("__set").alias("a"), F.max("__set").alias("b"))
+    return both.join(origins.where("a < b").select(*site), list(site), "left_semi").select(*reference.columns)
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
