@@ -131,12 +131,14 @@ def append_subject(panel: DataFrame, subject: str) -> DataFrame:
 def merge_genotypes(reference: DataFrame, subject: DataFrame, site: Sequence[str] = S.VARIANT_KEY) -> DataFrame:
     """Both genotype sets, kept to the markers they share.
 
-    The sets are stored together with their origin, so each is computed once; a marker with both origins is shared.
+    The sets are stored together with their origin, so each is computed once; a marker with both origins is shared. The
+    shared markers are staged too: their size is then known, so that few of them meet the sets without a shuffle.
     """
     sets = [df.select(*reference.columns, F.lit(i).alias("__set")) for i, df in enumerate((reference, subject))]
     both = stage(sets[0].unionByName(sets[1]), "genotypes")
     origins = both.groupBy(*site).agg(F.min("__set").alias("a"), F.max("__set").alias("b"))
-    return both.join(origins.where("a < b").select(*site), list(site), "left_semi").select(*reference.columns)
+    shared = stage(origins.where("a < b").select(*site), "shared")
+    return both.join(shared, list(site), "left_semi").select(*reference.columns)
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:

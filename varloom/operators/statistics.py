@@ -145,30 +145,28 @@ def ld_pairs(
     alleles. Dosages are 0, 1 or 2, one row per sample and marker. ``index`` is the marker order when it is already known.
 
     Samples are dealt into blocks of 63, and a marker has one row per block: three bit sets, who is called, who has one
-    alternate allele, who has two. Neighbouring runs of ``window`` markers meet per block, and the sums of a pair in a
-    block are bit counts, so rows per sample and pair never arise; a join group has at most 2 x window rows.
+    alternate allele, who has two. Inside a block each marker meets the markers in its window, and the sums of a pair in a
+    block are bit counts, so rows per sample and pair never arise; a marker meets at most ``window`` rows. Dosages are shuffled
+    by bucket of samples once: numbers, blocks and windows all stay inside a chromosome's bucket.
     """
-    index = marker_index(dosages, marker) if index is None else index
-    called = dosages.where(F.col("dosage").between(0, 2))
-    bucket = F.pmod(F.xxhash64(sample), F.lit(SAMPLE_BUCKETS))
-    number = F.row_number().over(Window.partitionBy("__bucket").orderBy(sample)) - 1
-    samples = called.select(sample).distinct().withColumn("__bucket", bucket).withColumn("__no", number)
-    samples = samples.select(
-        sample,
-        (F.col("__bucket") + SAMPLE_BUCKETS * F.floor(F.col("__no") / SAMPLE_BLOCK)).alias("block"),
-        F.expr(f"shiftleft(1L, cast(pmod(__no, {SAMPLE_BLOCK}) as int))").alias("bit"),
-    )
-    placed = called.join(index, list(marker)).join(samples, sample)
+    if index is None:
+        dosages = stage(dosages.select(sample, *marker, "dosage"), "dosages")
+        index = marker_index(dosages, marker)
+    called = dosages.where(F.col("dosage").between(0, 2) & F.col(sample).isNotNull())
+    bucket = F.pmod(F.xxhash64(sample), F.lit(SAMPLE_BUCKETS)).alias("bucket")
+    placed = called.join(index, list(marker)).select("chrom", bucket, F.col(sample).alias("sample"), F.col("idx").cast("long"), "dosage")
+    number = F.dense_rank().over(Window.partitionBy("chrom", "bucket").orderBy("sample")) - 1
+    bit = F.expr(f"shiftleft(1L, cast(pmod(no, {SAMPLE_BLOCK}) as int))")
+    placed = placed.withColumn("no", number).withColumns({"block": F.floor(F.col("no") / SAMPLE_BLOCK), "bit": bit})
     bits = lambda k: F.coalesce(F.bit_or(F.when(F.col("dosage") == k, F.col("bit"))), F.lit(0).cast("long"))
-    blocks = placed.groupBy("chrom", "idx", "block").agg(F.bit_or("bit").alias("p"), bits(1).alias("one"), bits(2).alias("two"))
-    run = F.floor(F.col("idx") / window)
+    group = ("chrom", "bucket", "block")
+    blocks = placed.groupBy(*group, "idx").agg(F.bit_or("bit").alias("p"), bits(1).alias("one"), bits(2).alias("two"))
+    near = Window.partitionBy(*group).orderBy("idx").rangeBetween(1, max(window - 1, 1))
     sets = ("p", "one", "two")
-    first = blocks.select("chrom", "block", run.alias("run"), F.col("idx").alias("idx_i"), *[F.col(c).alias(f"x_{c}") for c in sets])
-    second = blocks.select(
-        "chrom", "block", F.explode(F.array(run, run - 1)).alias("run"), F.col("idx").alias("idx_j"), *[F.col(c).alias(f"y_{c}") for c in sets]
-    )
-    end = F.floor(F.col("idx_i") / step) * step + window
-    pairs = first.join(second, ["chrom", "block", "run"]).where((F.col("idx_j") > F.col("idx_i")) & (F.col("idx_j") < end))
+    second = F.struct(F.col("idx").alias("idx_j"), *[F.col(c).alias(f"y_{c}") for c in sets])
+    met = blocks.withColumn("near", F.collect_list(second).over(near))
+    pairs = met.select("chrom", F.col("idx").alias("idx_i"), *[F.col(c).alias(f"x_{c}") for c in sets], F.inline("near"))
+    pairs = pairs.where(F.col("idx_j") < F.floor(F.col("idx_i") / step) * step + window)
 
     def both(a: str, b: str) -> Column:
         return F.bit_count(F.col(f"x_{a}").bitwiseAND(F.col(f"y_{b}")))
@@ -202,8 +200,9 @@ def ld_prune(
 ) -> DataFrame:
     """Markers left after dropping the first of every window pair with r-squared over the cutoff.
 
-    The marker order is read three times here, so it is staged.
+    The dosages and the marker order are read more than once here, so they are staged.
     """
+    dosages = stage(dosages.select(sample, *marker, "dosage"), "dosages")
     index = stage(marker_index(dosages, marker), "index")
     pairs = ld_pairs(dosages, window, step, marker, sample, index)
     dropped = pairs.where(F.col("r2") > cutoff).select("chrom", F.col("idx_i").alias("idx")).distinct()

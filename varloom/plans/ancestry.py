@@ -18,15 +18,21 @@ from varloom.session import stage
 def reference_markers(
     dosages: DataFrame, cohort: DataFrame | int, low: float = 0.05, high: float = 0.49, window: int = 50, step: int = 5, cutoff: float = 0.5
 ) -> DataFrame:
-    """Reference markers by minor-allele frequency over the cohort, then pruned for linkage among called dosages."""
-    common = A.filter_maf(A.dosage_frequency(dosages, cohort), low, high)
+    """Reference markers by minor-allele frequency over the cohort, then pruned for linkage among called dosages.
+
+    The common markers are staged: their size is then known, so that few of them meet the dosages without a shuffle.
+    """
+    common = stage(A.filter_maf(A.dosage_frequency(dosages, cohort), low, high).select(*S.VARIANT_KEY), "common")
     called = dosages.where(F.col("dosage").isNotNull())
     return A.ld_prune(members_in(called, common, S.VARIANT_KEY), window, step, cutoff)
 
 
 def subject_genotypes(calls: DataFrame, markers: DataFrame, max_missing: float = 0.999) -> DataFrame:
-    """Subject calls at marker positions: biallelic sites with few missing calls, every variant with an id."""
-    at_markers = dosage(members_in(calls, markers, ["chrom", "pos"]))
+    """Subject calls at marker positions: biallelic sites with few missing calls, every variant with an id.
+
+    The calls at the markers are read twice, for the sites and for the rows, so they are staged.
+    """
+    at_markers = stage(dosage(members_in(calls, markers, ["chrom", "pos"])), "at-markers")
     return missing_ids(A.biallelic_only(at_markers, max_missing=max_missing))
 
 
@@ -45,7 +51,8 @@ def ancestry_inputs(
     dosages = stage(A.sample_dosages(dosage(reference_calls), missing=True), "reference")
     markers = stage(reference_markers(dosages, panel.select("sample"), **marker_options), "markers")
     reference = members_in(dosages.where(F.col("dosage").isNotNull()), markers, S.VARIANT_KEY)
-    subjects = stage(A.sample_dosages(subject_genotypes(subject_calls, markers)), "subjects")
+    needed = subject_calls.select("subject_id", *S.VARIANT_KEY, "gt", "rs_id")
+    subjects = A.sample_dosages(subject_genotypes(needed, markers))
     merged = merge_genotypes(reference, subjects).withColumnRenamed("subject_id", "sample")
     known = map_population(merged, panel, level)
     ordered = known.join(panel.select("sample", "super_pop", "pop"), "sample", "left")
