@@ -15,7 +15,7 @@ from varloom.operators.joins import members_in, members_not_in
 from varloom.operators.pruning import prune_by_frequency as by_frequency
 from varloom.plans.ancestry import ancestry_inputs as inputs
 from varloom.plans.ancestry import ancestry_results as results
-from varloom.session import staging_root
+from varloom.session import stage, staging_root
 
 DOSE = """dose AS (SELECT subject_id, chrom, pos, ref, alt, max(CASE WHEN gt = '1/1' THEN 2 ELSE 1 END) AS dosage FROM {source}
     WHERE gt IS NOT NULL GROUP BY ALL)"""
@@ -195,7 +195,8 @@ FREQUENCIES = ANY.format(source="calls") + "," + FREQ.format(rates=RATES, marker
     ),
 )
 def prune_by_frequency(t):
-    return by_frequency(_dosages(t), A.dosage_frequency(_every(t), _cohort(t)))
+    every = stage(_every(t), "every")
+    return by_frequency(every.where(F.col("dosage").isNotNull()), A.dosage_frequency(every, _cohort(t)))
 
 
 @query(

@@ -102,10 +102,12 @@ def prune_by_frequency(
 ) -> DataFrame:
     """Markers left after pruning, with their order ``idx``. ``frequencies`` has the marker columns and ``maf``.
 
-    Linkage is that of ``ld_pairs``. A marker without a frequency is linked with nothing.
+    Linkage is that of ``ld_pairs``. A marker without a frequency is linked with nothing. Dosages, marker order and
+    frequencies are read more than once, so they are staged.
     """
+    dosages = stage(dosages.select(sample, *marker, "dosage"), "dosages")
     index = stage(marker_index(dosages, marker), "index")
-    numbered = index.join(frequencies.select(*marker, "maf"), list(marker)).select("chrom", "idx", "maf")
+    numbered = stage(index.join(frequencies.select(*marker, "maf"), list(marker)).select("chrom", "idx", "maf"), "frequencies")
     edges = linked_pairs(ld_pairs(dosages, window, step, marker, sample, index), numbered, cutoff)
     gone = pruned_markers(edges, window, step, block_windows)
     return index.join(gone, ["chrom", "idx"], "left_anti").select(*marker, "idx")
