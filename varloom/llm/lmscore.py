@@ -77,6 +77,23 @@ def _ids(value: np.ndarray, kind: np.ndarray, model: SimpleNamespace) -> np.ndar
     return np.where(model.words[at] == value, at, len(model.words) + kind)
 
 
+def _known(value: np.ndarray, ids: np.ndarray, model: SimpleNamespace, known: np.ndarray, known_n: np.ndarray):
+    """Whether each token's word is among the known ones, and its count there; words of the short list are sought once."""
+
+    def sought(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+        here = known[at] == words
+        return here, np.where(here, known_n[at], 0)
+
+    (here, c), own = sought(model.words), np.minimum(ids, len(model.words) - 1)
+    here, c = here[own], c[own]
+    other = np.flatnonzero(ids >= len(model.words))
+    here[other], c[other] = sought(value[other])
+    return here, c
+
+
 def _begins(first: np.ndarray) -> np.ndarray:
     """The first token of each token's text."""
     return np.repeat(first[:-1], np.diff(first))
@@ -91,47 +108,65 @@ def _context(ids: np.ndarray, begins: np.ndarray, model: SimpleNamespace, start:
     two = np.where(i - 2 >= begin, ids[i - 2], end)
     low = max(0, start - RECENT)
     run = np.zeros((stop - low + 1, WIDTH), np.float32)
-    np.cumsum(r[ids[low:stop]], axis=0, out=run[1:])
+    np.cumsum(r.take(ids[low:stop], axis=0), axis=0, out=run[1:])
     since = np.maximum(begin, i - RECENT)
     count = np.maximum(i - since, 1).astype(np.float32)
-    mean = (run[i - low] - run[since - low]) / count[:, None]
-    last, before = r[one], r[two]
-    h = last * model.scale[0] + before * model.scale[1] + mean * model.scale[2]
-    return h, one, two, last, before, mean, since, count
+    mean = run[start - low : stop - low] - run.take(since - low, axis=0)
+    mean /= count[:, None]
+    last, before = r.take(one, axis=0), r.take(two, axis=0)
+    h = last * model.scale[0]
+    h += before * model.scale[1]
+    h += mean * model.scale[2]
+    return h, last, before, mean, count
 
 
 def _step(ids, begins, start, stop, model, memory, rng) -> None:
     """One update from a batch of tokens: each against shared noise words drawn by frequency."""
-    h, one, two, last, before, mean, since, count = _context(ids, begins, model, start, stop)
-    target = ids[start:stop]
+    h, last, before, mean, count = _context(ids, begins, model, start, stop)
+    target, size = ids[start:stop], stop - start
     noise = np.searchsorted(model.heap, rng.random(NOISE)).clip(0, len(model.bias) - 1)
     shift = np.log(NOISE) + model.logp
-    own, drawn = model.outputs[target], model.outputs[noise]
+    own, drawn = model.outputs.take(target, axis=0), model.outputs[noise]
     good = np.einsum("ij,ij->i", h, own) + (model.bias - shift)[target]
-    bad = h @ drawn.T + (model.bias - shift)[noise][None, :]
     eg = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)  # ascent direction of the true words
-    eb = (-1 / (1 + np.exp(np.clip(-bad, -30, 30)))).astype(np.float32)
+    # In place, because the noise makes the largest arrays; what the bound leaves out is 1 at this precision.
+    eb = h @ -drawn.T
+    eb -= (model.bias - shift)[noise]
+    np.minimum(eb, np.float32(30), out=eb)
+    np.exp(eb, out=eb)
+    eb += np.float32(1)
+    np.reciprocal(eb, out=eb)  # descent direction of the noise
     n, width = len(model.bias), np.arange(WIDTH)
+    low, begin = max(0, start - RECENT), begins[start:stop]
+    cells = (ids[low:stop, None] * WIDTH + width).ravel()
 
     def spread(at: np.ndarray, g: np.ndarray) -> np.ndarray:
-        return np.bincount((at[:, None] * WIDTH + width).ravel(), weights=g.ravel(), minlength=n * WIDTH).reshape(n, WIDTH)
+        return np.bincount(at, weights=g.ravel(), minlength=n * WIDTH).reshape(n, WIDTH)
 
-    gh = eg[:, None] * own + eb @ drawn
-    g_out = spread(target, eg[:, None] * h) + spread(noise, eb.T @ h)
-    g_bias = np.bincount(target, weights=eg, minlength=n) + np.bincount(noise, weights=eb.sum(0), minlength=n)
+    gh = eg[:, None] * own - eb @ drawn
+    drawn_cells = (noise[:, None] * WIDTH + width).ravel()
+    g_out = spread(cells[(start - low) * WIDTH :], eg[:, None] * h) - spread(drawn_cells, eb.T @ h)
+    g_bias = np.bincount(target, weights=eg, minlength=n) - np.bincount(noise, weights=np.ones(size, np.float32) @ eb, minlength=n)
     g_scale = np.stack([np.einsum("ij,ij->j", gh, x) for x in (last, before, mean)])
-    # The mean passes its gradient to all words of its stretch: differences, summed up, give each word its share.
-    low = max(0, start - RECENT)
-    share = gh * model.scale[2] / count[:, None]
+    # What each word of the batch and before it gets as the last word, the word before it and one of the recent words of those
+    # after it in its text: the mean passes its gradient to all words of its stretch, a difference of running sums.
     i = np.arange(start, stop)
-    edges = np.zeros((stop - low + 1, WIDTH))
-    cells = edges.size
-    flat = lambda at: ((at - low)[:, None] * WIDTH + width).ravel()
-    edges += np.bincount(flat(since), weights=share.ravel(), minlength=cells).reshape(edges.shape)
-    edges -= np.bincount(flat(i), weights=share.ravel(), minlength=cells).reshape(edges.shape)
-    back = np.cumsum(edges, axis=0)[:-1]
-    g_in = spread(one, gh * model.scale[0]) + spread(two, gh * model.scale[1]) + spread(ids[low:stop], back)
-    size = stop - start
+    total = np.zeros((size + 1, WIDTH))
+    np.cumsum(gh * (model.scale[2] / count[:, None]), axis=0, dtype=np.float64, out=total[1:])
+    place = np.arange(low, stop)
+    until = np.minimum(np.searchsorted(begin, place, side="right"), np.maximum(place + RECENT + 1 - start, 0))
+    back = total.take(until, axis=0) - total.take(np.clip(place + 1 - start, 0, size), axis=0)
+    ended = np.zeros(WIDTH)
+    for away, scale in ((1, model.scale[0]), (2, model.scale[1])):
+        given = gh * scale
+        outside = i - away < begin
+        if outside.any():
+            ended += given[outside].sum(axis=0, dtype=np.float64)
+            given[outside] = 0
+        skip = max(0, low + away - start)  # those before the first word of all belong to the end
+        back[start + skip - away - low : stop - away - low] += given[skip:]
+    g_in = spread(cells, back)
+    g_in[model.end] += ended
     for name, g in (("inputs", g_in), ("outputs", g_out), ("bias", g_bias), ("scale", g_scale)):
         g = g / size
         memory[name] += g * g
@@ -185,19 +220,20 @@ def _logp(ids: np.ndarray, first: np.ndarray, model: SimpleNamespace) -> np.ndar
     """
     begins, out = _begins(first), np.empty(len(ids))
     table = np.ascontiguousarray(np.vstack([model.outputs.T, model.bias[None, :]]))
+    rows, ones = np.arange(SCORED), np.ones(table.shape[1], np.float32)
     longest, most = np.linalg.norm(model.outputs, axis=1).max(), np.abs(model.bias).max()
     for start in range(0, len(ids), SCORED):
         stop = min(start + SCORED, len(ids))
         h = np.ones((stop - start, WIDTH + 1), np.float32)
         h[:, :WIDTH] = _context(ids, begins, model, start, stop)[0]
         z = h @ table
-        own = z[np.arange(stop - start), ids[start:stop]]
+        own = z[rows[: stop - start], ids[start:stop]]
         far = np.sqrt(np.einsum("ij,ij->i", h[:, :WIDTH], h[:, :WIDTH]).max()) * longest + most > SAFE
         top = z.max(axis=1) if far else np.float32(0)
         if far:
             z -= top[:, None]
         np.exp(z, out=z)
-        out[start:stop] = (own - top - np.log(z.sum(axis=1))) / np.log(10)
+        out[start:stop] = (own - top - np.log(z @ ones)) / np.log(10)
     return out
 
 
@@ -259,12 +295,7 @@ def scored(docs: DataFrame, learn: Column | None = None) -> DataFrame:
                 value, kind, first = _tokens(words_of(part))
                 text = np.repeat(np.arange(n), np.diff(first))
                 ids = _ids(value, kind, model)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, value), len(known) - 1)
-                    here = known[at] == value
-                    c = np.where(here, known_n[at], 0)
-                else:
-                    here, c = np.zeros(len(value), bool), np.zeros(len(value), np.int64)
+                here, c = _known(value, ids, model, known, known_n)
                 inner = ids >= len(model.words)  # words that go by their class
                 logc = np.log10(c + SMOOTH)
                 score = _logp(ids, first, model) + np.where(inner, -z_class[np.where(inner, ids - len(model.words), 0)], 0.0)
